@@ -17,9 +17,10 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: A key with more than this share of the rows is kept out of the shuffle. At most
-#: ``1 / HOT_SHARE`` keys can be that frequent.
+#: A key with more than this share of the rows, and more than this many, is kept out
+#: of the shuffle. At most ``1 / HOT_SHARE`` keys can be that frequent.
 HOT_SHARE = 0.01
+HOT_ROWS = 1_000_000
 
 _SKETCH_ITEMS = 8192
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DatetimeType, T.AnyTimeType)
@@ -56,7 +57,7 @@ def fits_broadcast(
 
 
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float | None = None) -> list[int]:
-    """Hashes of the keys that hold more than ``share`` of the rows.
+    """Hashes of the keys that hold more than ``share`` of the rows and ``HOT_ROWS`` rows.
 
     One pass over the key columns feeds a frequent-items sketch of fixed size, so
     nothing is shuffled per key. Which keys are found changes the plan only, never
@@ -70,7 +71,8 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float | None = Non
         .agg(F.count(F.lit(1)).alias("total"), top.alias("top"))
         .first()
     )
-    return [item["item"] for item in found["top"] or [] if item["count"] > share * found["total"]]
+    least = max(share * found["total"], HOT_ROWS)
+    return [item["item"] for item in found["top"] or [] if item["count"] > least]
 
 
 def lookup_join(

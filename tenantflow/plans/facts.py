@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tenantflow.operators.lookups import lookup_join
@@ -28,9 +29,7 @@ def enrich_sales(sales: DataFrame, guides: DataFrame) -> DataFrame:
         F.col("name").alias("guider_name"),
         F.col("shop_code").alias("guider_shop_code"),
     )
-    joined = lookup_join(
-        sales, lookup, ["org_code", "sale_guider_code"], "left", sized_by=guides
-    )
+    joined = lookup_join(sales, lookup, ["org_code", "sale_guider_code"], "left")
     return joined.select(*sales.columns, "guider_id", "guider_name", "guider_shop_code")
 
 
@@ -59,17 +58,17 @@ def guide_day_sales(sales: DataFrame, shop_totals: DataFrame | None = None) -> D
     """Orders and amounts per guide and day, with the share of the shop's amount.
 
     The share is null where the shop's total is zero. Without given totals they are
-    added up from the guides' sums, so the sales are read once.
+    added up over the guides' sums, which are one row per guide by then, so the sales
+    are read once.
     """
     by_guide = _day_totals(sales, *GUIDE_DAY)
     if shop_totals is None:
-        shop_totals = by_guide.groupBy(*SHOP_DAY).agg(F.sum("real_amount").alias("real_amount"))
-    totals = shop_totals.select(*SHOP_DAY, F.col("real_amount").alias("shop_amount"))
+        total = F.sum("real_amount").over(W.partitionBy(*SHOP_DAY))
+        with_total = by_guide.withColumn("shop_amount", total)
+    else:
+        totals = shop_totals.select(*SHOP_DAY, F.col("real_amount").alias("shop_amount"))
+        with_total = lookup_join(by_guide, totals, SHOP_DAY, "left", keys_from=sales)
     share = F.col("real_amount").cast("double") / F.nullif(
         F.col("shop_amount").cast("double"), F.lit(0.0)
     )
-    # Both sides come from one exchange of the reduced sales, so measuring a side first
-    # would read the sales again; adaptive execution picks the join and splits skew.
-    return by_guide.join(totals, list(SHOP_DAY), "left").select(
-        *by_guide.columns, share.alias("share_of_shop")
-    )
+    return with_total.select(*by_guide.columns, share.alias("share_of_shop"))

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tenantflow.functions.dates import day_text
 from tenantflow.functions.messages import signal_value
 from tenantflow.operators.lookups import lookup_join
 
@@ -36,9 +37,12 @@ class RetailModel:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
+        self._frames: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._frames:
+            self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._frames[name]
 
     # -- tenants and shops -------------------------------------------------------
 
@@ -163,7 +167,7 @@ class RetailModel:
         return self.payments().select(
             "org_code",
             F.concat(F.lit(" "), "order_no").alias("order_no"),
-            F.date_format("trade_date", "yyyyMMdd").alias("date_id"),
+            day_text(F.col("trade_date")).alias("date_id"),
             F.col("created_at").alias("sales_time"),
             F.col("member_no").alias("member_code"),
             "member_no",

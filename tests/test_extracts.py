@@ -1,0 +1,330 @@
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from tenantflow.plans import extracts
+
+AS_OF = dt.date(2020, 3, 10)
+NOON = dt.datetime(2020, 3, 10, 12)
+
+
+def days(n):
+    return AS_OF + dt.timedelta(days=n)
+
+
+@pytest.fixture
+def logs(spark):
+    payments = spark.createDataFrame(
+        [
+            (1, "A", "o1", days(-7), dt.datetime(2020, 3, 3, 9), "s", "m", "g", Decimal("1.00")),
+            (2, "A", "o2", days(-6), dt.datetime(2020, 3, 4, 9), "s", "m", "g", Decimal("2.00")),
+            (3, "A", "o2", days(-6), dt.datetime(2020, 3, 4, 8), "s", "m", "g", Decimal("0.50")),
+            (4, "A", "o3", days(-1), dt.datetime(2020, 3, 9, 9), "s", "m", None, Decimal("4.00")),
+            (5, "A", "o4", days(0), dt.datetime(2020, 3, 10, 9), "s", "m", "g", Decimal("8.00")),
+            (6, "A", "o4", days(0), dt.datetime(2020, 3, 10, 8), "s", "m", "g", Decimal("8.00")),
+            (7, "A", "o4", days(0), dt.datetime(2020, 3, 10, 7), "s", "m", None, Decimal("3.00")),
+            (8, "B", "o2", days(-1), dt.datetime(2020, 3, 9, 9), "s", "m", "g", Decimal("16.00")),
+        ],
+        "id long, org_code string, order_no string, trade_date date, created_at timestamp, "
+        "shop_code string, member_no string, guide string, pay_total decimal(18,2)",
+    )
+    items = spark.createDataFrame(
+        [(10 + n, n, "sku", Decimal("1.10"), Decimal("2.20"), Decimal("2")) for n in range(1, 10)],
+        "id long, history_log_id long, sku string, price decimal(18,2), total decimal(18,2), "
+        "num decimal(18,3)",
+    ).selectExpr("*", "timestamp'2020-03-10 10:00:00' AS created_at", "'shop' AS shop")
+    return {"order_history_logs": payments, "order_order_item_logs": items}
+
+
+def test_billing_leaves_today_and_the_seventh_day_out(logs, rows):
+    found = rows(extracts.billing_trailing7(logs, AS_OF, "A"))
+    assert found == [("o2", Decimal("2.50")), ("o3", Decimal("4.00"))]
+    every = dict(extracts.billing_trailing7(logs, AS_OF).collect())
+    assert every["o2"] == Decimal("18.50")
+
+
+def test_sales_today(logs):
+    found = extracts.sales_today(logs, AS_OF, "A").orderBy("real_amount").collect()
+    assert [tuple(r) for r in found] == [
+        ("o4", "20200310", dt.datetime(2020, 3, 10, 7), "s", "m", "m", Decimal("3.00"),
+         Decimal("3.00"), 0, None),
+        ("o4", "20200310", dt.datetime(2020, 3, 10, 8), "s", "m", "m", Decimal("16.00"),
+         Decimal("16.00"), 0, "g"),
+    ]
+
+
+def test_sales_items(logs):
+    found = extracts.sales_item_extract(logs, AS_OF, "A")
+    assert sorted(r.item_seq for r in found.collect()) == [12, 13, 14]
+    assert found.columns == [
+        "order_no", "item_seq", "sales_time", "shop_code", "member_code", "product_code",
+        "sales_price", "fact_price", "amount", "quantity", "profit", "guider_code",
+    ]
+    today = extracts.sales_item_today(logs, AS_OF, "A").collect()
+    assert len(today) == 3
+    assert {r.date_id for r in today} == {"20200310"}
+    assert {(r.product_code, r.product_barcode, r.profit) for r in today} == {("sku", "sku", 0)}
+
+
+# -- members -----------------------------------------------------------------------
+
+
+@pytest.fixture
+def members(spark):
+    cards = spark.createDataFrame(
+        [
+            ("c1", "f1", "i1", "t", "1", "20-03-03 00:00:00"),  # midnight of day -7, no update
+            ("c2", "f2", "i1", "t", "2", "2020-03-02 23:59:59"),  # one second before
+            ("c3", "f3", "i2", "t", None, "2019-01-01 00:00:00"),  # two recent updates, one old
+            ("c4", "f4", "i2", "t", "1", "2020-03-10 01:00:00"),  # new, with two old updates
+            ("c5", "f5", "i3", "t", "1", "garbage"),
+            ("c6", "f6", "i9", "t", "1", "2020-03-10 01:00:00"),  # no such holder
+            ("c7", "f7", "i3", "x", "1", "2020-03-10 01:00:00"),  # no such card type
+            ("c8", "f8", "i3", "t", "1", None),
+        ],
+        "VIPCARDNO string, CARDFACENO string, VIPINFONO string, CARDTYPECODE string, "
+        "VIPSTATUS string, REGDATE string",
+    )
+    holders = spark.createDataFrame(
+        [
+            ("i1", "n1", "b", "13800000001", None, "s1", "guide", "k"),
+            ("i2", "n2", "b", "1", "02100000002", "s2", "", "k"),
+            ("i3", "n3", "b", None, None, "s3", None, "k"),
+        ],
+        "VIPINFONO string, VIPNAME string, BIRTHDAY string, mobile string, TELPHONE string, "
+        "ORGCODE string, CHILDCONSULTANT string, FkrCode string",
+    )
+    updates = spark.createDataFrame(
+        [
+            ("c3", "2020-03-03 00:00:00"),
+            ("c3", "2020-03-10 09:00:00"),
+            ("c3", "2020-01-01 09:00:00"),
+            ("c4", "2020-01-01 09:00:00"),
+            ("c4", None),
+            ("c5", "20-03-09 09:00:00"),
+            (None, "2020-03-09 09:00:00"),
+        ],
+        "VIPCARDNO string, UPDATEDATE string",
+    )
+    types = spark.createDataFrame([("t", "type")], "CARDTYPECODE string, CARDTYPENAME string")
+    return {
+        "TISUCARD": cards,
+        "TISUVIPINFO": holders,
+        "TINTCARDUPDINFO": updates,
+        "TBASCARDTYPE": types,
+    }
+
+
+def test_members_multiply_with_their_updates(members):
+    found = [r.member_code for r in extracts.member_extract(members, AS_OF).collect()]
+    assert sorted(found) == ["c1", "c3", "c3", "c4", "c4", "c5"]
+
+
+def test_member_columns(members):
+    found = {r.member_code: r for r in extracts.member_extract(members, AS_OF).collect()}
+    assert tuple(found["c1"]) == (
+        "c1", "f1", "n1", "b", "13800000001", "20-03-03 00:00:00", "s1", "0", "t", "type", "guide",
+    )
+    assert (found["c3"].mobile, found["c3"].member_state) == ("02100000002", "1")
+    assert (found["c3"].guider_code, found["c5"].guider_code) == ("k", "k")
+    assert found["c5"].mobile is None
+
+
+def test_members_today(members, rows):
+    found = extracts.member_today(members, AS_OF)
+    assert sorted(r.member_code for r in found.collect()) == ["c3", "c4", "c4", "c7"]
+    assert found.columns == [
+        "member_code", "member_no", "member_name", "baby_birthdate", "member_mobile",
+        "rgst_date", "rgst_shop_code",
+    ]
+    assert all(r.member_code == r.member_no for r in found.collect())
+
+
+def test_rows_are_repeated_in_steps(spark, monkeypatch):
+    monkeypatch.setattr(extracts, "_COPIES_PER_STEP", 4)
+    df = spark.createDataFrame([("a", 1), ("b", 4), ("c", 9), ("d", 8)], "k string, n long")
+    found = extracts.repeat_rows(df, "n").groupBy("k").count()
+    assert dict(found.collect()) == {"a": 1, "b": 4, "c": 9, "d": 8}
+
+
+# -- products ----------------------------------------------------------------------
+
+
+def test_products(spark):
+    moments = {
+        "old": ("2020-03-03 12:00:00", None),
+        "new": ("2020-03-03 12:00:00.000001", None),
+        "updated": ("2019-01-01 00:00:00", "2020-03-09 00:00:00"),
+        "none": (None, None),
+    }
+    texts = [
+        "product_code", "barcode", "product_name", "categoryiii_code", "categoryiii_name",
+        "categoryii_code", "categoryii_name", "categoryi_code", "categoryi_name", "sales_price",
+        "member_price", "product_state",
+    ]
+    data = [(code, *texts[1:], c, u) for code, (c, u) in moments.items()]
+    df = spark.createDataFrame(data, ", ".join(f"{t} string" for t in [*texts, "c", "u"]))
+    products = df.selectExpr(
+        *texts, "CAST(c AS timestamp) AS created_at", "CAST(u AS timestamp) AS updated_at"
+    )
+    found = extracts.product_extract({"product_info": products}, NOON)
+    assert sorted(r.product_code for r in found.collect()) == ["new", "updated"]
+    # Code and name of each category stand together, as in the target.
+    assert found.columns == [*texts, "pos_created_at"]
+    assert found.first().categoryiii_name == "categoryiii_name"
+
+
+# -- plans -------------------------------------------------------------------------
+
+
+def test_plan_status(spark):
+    cases = [
+        (0, "2020-03-01", None, "2020-04-01", "0"),
+        (1, "2020-03-01", None, "2020-04-01", "1"),
+        (1, "2020-03-10 12:00:00", None, "2020-04-01", "1"),
+        (1, "2020-03-01", None, "2020-03-10 12:00:00", "1"),
+        (1, "2020-03-11", None, "2020-04-01", None),
+        (2, "2020-03-01", None, "2020-04-01", "2"),
+        (1, "2020-03-01", None, "2020-03-05", "2"),
+        (None, "2020-03-01", None, "2020-03-05", "2"),
+        (None, "2020-03-01", None, "2020-04-01", None),
+        (1, "2020-03-01", "2020-03-05", "2020-04-01", "2"),
+        (1, "2020-03-01", "2020-03-15", "2020-03-05", "1"),
+    ]
+    df = spark.createDataFrame(
+        [(n, *case) for n, case in enumerate(cases)],
+        "n int, approve_flag int, begin_date string, stop_date string, flow_end_date string, "
+        "expected string",
+    )
+    for c in ("begin_date", "stop_date", "flow_end_date"):
+        df = df.withColumn(c, F.col(c).cast("timestamp"))
+    found = df.select("n", "expected", extracts.plan_status(NOON).alias("status")).collect()
+    assert [r.n for r in found if r.status != r.expected] == []
+
+
+def test_branch_list(spark, rows):
+    data = [
+        ("p1", "b2"), ("p1", "b10"), ("p1", "b2"), ("p1", None), ("p1", "b1"),
+        ("p2", None), ("p2", None), ("p3", "b"), ("p4", ""), ("p4", "x"),
+    ]
+    df = spark.createDataFrame(data, "plan_no string, branch_no string")
+    assert rows(extracts.branch_list(df)) == [
+        ("p1", "b1,b10,b2,b2"),
+        ("p2", None),
+        ("p3", "b"),
+        ("p4", ",x"),
+    ]
+
+
+@pytest.fixture
+def plans(spark):
+    def frame(data, schema):
+        df = spark.createDataFrame(data, schema)
+        stamps = [c for c in df.columns if c.endswith("_date")]
+        return df.withColumns({c: F.col(c).cast("timestamp") for c in stamps})
+
+    masters = frame(
+        [
+            ("p1", "n", "m", "2020-03-01", "2020-05-01", None, 1, "0", "1"),
+            ("p2", "n", "m", "2020-03-01", "2020-05-01", "2020-03-20", 1, "0", "无"),
+            ("p3", "n", "m", "2020-03-01", "2020-05-01", None, 1, "0", "2"),
+            ("p4", "n", "m", "2020-03-01", "2020-05-01", None, 1, "0", "1"),
+            ("p5", "n", "m", "2020-03-01", "2020-05-01", None, 0, "0", "1"),
+            ("p6", "n", "m", "2020-03-01", "2020-05-01", "2020-03-05", 1, "0", "1"),
+        ],
+        "plan_no string, plan_name string, plan_memo string, begin_date string, end_date string, "
+        "stop_date string, approve_flag int, multiple_flag string, vip_type string",
+    )
+    one, limit = Decimal("1.50"), Decimal("9.00")
+    items = frame(
+        [
+            (1, "p1", "i", "d", "PSI", "x", "2020-04-01", None, None, None, one, one, "1111111", None),
+            (2, "p1", "i", "d", "DMI", "x", "2020-04-01", one, one, one, one, one, "1111111", None),
+            (3, "p1", "i", "d", "ZZZ", "x", "2020-04-01", one, one, one, one, one, "1111111", None),
+            (4, "p1", "i", "d", "PSI", "x", "2020-04-01", one, one, one, one, one, "1111110", None),
+            (5, "p1", "i", "d", "PSI", "x", "2020-04-01", one, one, one, one, one, "1111111", limit),
+            (6, "p1", "i", "d", "PSI", "x", "2020-03-05", one, one, one, one, one, "1111111", None),
+            (7, "p2", "i", "d", "PSI", "x", "2020-03-05", one, one, one, one, one, "1111111", None),
+            *[(n, f"p{n - 5}", "i", "d", "PSI", "x", "2020-04-01", one, one, one, one, one,
+               "1111111", None) for n in (8, 9, 10, 11)],
+        ],
+        "id long, plan_no string, plan_name string, plan_desc string, rule_no string, "
+        "item_no string, end_date string, amt decimal(18,2), ex_amt decimal(18,2), "
+        "rate decimal(18,2), sale_price decimal(18,2), price decimal(18,2), week string, "
+        "limit decimal(18,2)",
+    )
+    branches = spark.createDataFrame(
+        [(p, b) for p in ("p1", "p2", "p3", "p5", "p6") for b in ("b2", "b1")],
+        "plan_no string, branch_no string",
+    )
+    return {"t_rm_plan_master": masters, "t_rm_plan_flow": items, "t_rm_plan_branch": branches}
+
+
+@pytest.mark.parametrize("path", ["broadcast", "shuffle"])
+def test_plan_extract(plans, request, path):
+    if path == "shuffle":
+        request.getfixturevalue("shuffled")
+    found = {r.plan_item_no: r for r in extracts.plan_extract(plans, NOON).collect()}
+    # 3 to 6 fail a filter, 8 to 11 belong to other plans: no vip, no branch, not approved, over.
+    assert sorted(found) == [1, 2, 7]
+    one = found[1]
+    assert (one.amt, one.ex_amt, one.rate) == (Decimal(0), Decimal(0), Decimal("1.00"))
+    assert (one.need_combine, found[2].need_combine) == ("0", "1")
+    assert one.branch_no == "b1,b2"
+    assert {r.plan_status for r in found.values()} == {"1"}
+    # The output has the end date of the plan, although the item ends earlier.
+    assert one.end_date == dt.datetime(2020, 5, 1)
+    assert found[7].end_date == dt.datetime(2020, 3, 20)
+    assert one.gmt_create == one.gmt_modified == NOON
+
+
+# -- dimensions --------------------------------------------------------------------
+
+
+def test_guides(spark, rows):
+    guides = spark.createDataFrame(
+        [
+            (1, " 7 ", "a", "A", 10, 0, 0),
+            (2, "", "a", "A", 10, 0, 0),
+            (3, "   ", "a", "A", 10, 0, 0),
+            (4, None, "a", "A", 10, 0, 0),
+            (5, "8", "a", "A", 10, 1, 0),
+            (6, "8", "a", "A", 10, 0, 1),
+            (7, "8", "a", "A", 10, None, None),
+            (8, "9", "a", "B", 11, 0, 0),
+        ],
+        "id long, user_no string, name string, org_code string, shop_id long, is_deleted int, "
+        "is_dimission int",
+    )
+    nodes = spark.createDataFrame([(10, "n10")], "id long, code string")
+    found = extracts.guide_dim(guides, nodes)
+    assert rows(found) == [(1, "7", "a", "n10", "A"), (8, "9", "a", None, "B")]
+    assert rows(extracts.guide_dim(guides, nodes, "B")) == [(8, "9", "a", None, "B")]
+
+
+def test_shops(spark, rows):
+    shops = spark.createDataFrame(
+        [(1, " s ", "n", 1), (2, "s", "n", 0), (3, "s", "n", None)],
+        "dim_shop_id long, shop_code string, shop_name string, online int",
+    )
+    assert rows(extracts.dim_shop(shops)) == [(1, "s", "n")]
+
+
+def test_staged_sales(spark):
+    sales = spark.createDataFrame(
+        [("A", " o1 ", "20181014", " 7 "), ("A", "o2", "bad", None), ("B", "o3", "20181015", "")],
+        "org_code string, order_no string, date_id string, guider_code string",
+    )
+    for c in ("sales_time", "member_code", "member_no", "shop_code", "real_amount", "due_amount",
+              "discount_amount", "nrp_amount"):
+        sales = sales.withColumn(c, F.lit(None).cast("string"))
+    found = {r.order_no: r for r in extracts.prt_sales_load(sales).collect()}
+    assert (found["o1"].m_id, found["o1"].static_code) == (10, 1)
+    assert (found["o1"].sale_guider_code, found["o1"].dim_date_id) == ("7", "20181014")
+    assert found["o2"].m_id is None
+    one_day = extracts.prt_sales_load(sales, 20181015).collect()
+    assert [r.order_no for r in one_day] == ["o3"]
