@@ -1,0 +1,202 @@
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from tenantflow.operators import events
+from tenantflow.operators.cache import CacheScope, DailyCache, cache_scope
+from tenantflow.plans.facts import fct_orders
+from tenantflow.streaming import refresh, signals
+
+
+@pytest.fixture
+def source(spark, tmp_path):
+    """Staged sales as files by tenant, guides, and a folder for signals."""
+    path = str(tmp_path / "sales")
+    sales = spark.range(30).selectExpr(
+        "concat('T', id % 3) AS org_code", "concat('o', id) AS order_no",
+        "CAST(20200101 + id % 2 AS string) AS date_id", "timestamp'2020-01-01' AS sales_time",
+        "'m' AS member_code", "'m' AS member_no", "'s' AS shop_code",
+        "CAST(id % 5 AS string) AS guider_code", "CAST(id AS decimal(18,2)) AS real_amount",
+        "CAST(id AS decimal(18,2)) AS due_amount", "CAST(0 AS decimal(18,2)) AS discount_amount",
+        "CAST(NULL AS decimal(18,2)) AS nrp_amount",
+    )
+    sales.write.partitionBy("org_code").parquet(path)
+    guides = spark.range(15).selectExpr(
+        "id", "CAST(id % 5 AS string) AS user_no", "concat('g', id) AS name",
+        "concat('T', id % 3) AS org_code", "CAST(1 AS long) AS shop_id", "0 AS is_deleted",
+        "0 AS is_dimission",
+    )
+    nodes = spark.sql("SELECT CAST(1 AS long) AS id, 'n' AS code")
+    (tmp_path / "signals").mkdir()
+
+    def run(available_now=True):
+        query = refresh.start_refresh(
+            signals.read_folder(spark, str(tmp_path / "signals")),
+            lambda: spark.read.parquet(path),
+            lambda: guides,
+            lambda: nodes,
+            str(tmp_path / "facts"),
+            str(tmp_path / "checkpoint"),
+            available_now,
+        )
+        query.awaitTermination(120)
+        return query
+
+    def signal(name, *lines):
+        (tmp_path / "signals" / name).write_text("\n".join(lines) + "\n")
+
+    def facts():
+        return spark.read.parquet(str(tmp_path / "facts"))
+
+    return run, signal, facts, (lambda: spark.read.parquet(path)), guides, nodes, path
+
+
+def line(org):
+    return json.dumps({"org_code": org, "dw_name": f"{org}DW", "time": "2020-01-01 00:00:00"})
+
+
+def test_only_the_named_tenants_are_refreshed(source, rows):
+    run, signal, facts, sales, guides, nodes, path = source
+    signal("1.txt", line("T0"), line("T0"), "{broken", line("T9"))
+    run()
+    columns = ["org_code", "order_no", "guider_name", "real_amount"]
+    expected = fct_orders(sales(), guides, nodes)
+    assert rows(facts().select(*columns)) == rows(expected.filter("org_code = 'T0'").select(*columns))
+    assert facts().count() == 10
+
+    signal("2.txt", line("T1"))
+    run()
+    assert rows(facts().select(*columns)) == rows(
+        expected.filter("org_code IN ('T0', 'T1')").select(*columns)
+    )
+
+    # The same signal again, as after a replay, changes nothing.
+    signal("3.txt", line("T0"), line("T1"))
+    run()
+    assert facts().count() == 20
+
+
+def test_changed_sales_replace_the_facts_of_the_day(spark, source):
+    run, signal, facts, sales, guides, nodes, path = source
+    signal("1.txt", line("T0"), line("T1"))
+    run()
+    one = sales().filter("org_code = 'T0' AND order_no = 'o0'").withColumn("order_no", F.lit("late"))
+    one.write.mode("append").partitionBy("org_code").parquet(path)
+    signal("2.txt", line("T0"))
+    run()
+    assert facts().filter("org_code = 'T0'").count() == 11
+    assert facts().filter("org_code = 'T1'").count() == 10
+
+
+def test_batch_without_signals_writes_nothing(spark, source, tmp_path):
+    run, signal, *_ = source
+    signal("1.txt", "{broken", "")
+    run()
+    assert not (tmp_path / "facts").exists()
+
+
+def test_failing_batch_stops_the_query(spark, source, tmp_path):
+    _, signal, _, _, guides, nodes, _ = source
+    signal("1.txt", line("T0"))
+
+    def broken():
+        raise RuntimeError("source is away")
+
+    def start(sales):
+        query = refresh.start_refresh(
+            signals.read_folder(spark, str(tmp_path / "signals")),
+            sales,
+            lambda: guides,
+            lambda: nodes,
+            str(tmp_path / "facts"),
+            str(tmp_path / "retry"),
+            available_now=True,
+        )
+        query.awaitTermination(120)
+
+    with pytest.raises(Exception, match="source is away"):
+        start(broken)
+    start(source[3])
+    assert spark.read.parquet(str(tmp_path / "facts")).count() == 10
+
+
+def test_kafka_source_options():
+    assert signals.kafka_options("h:1", "topic") == {
+        "kafka.bootstrap.servers": "h:1", "subscribe": "topic", "startingOffsets": "latest",
+    }
+    assert signals.kafka_options("h", "t", {"startingOffsets": "earliest"})["startingOffsets"] == "earliest"
+    assert refresh.BATCH_INTERVAL == "60 seconds"
+
+
+# -- change events -----------------------------------------------------------------
+
+
+@pytest.fixture
+def changes(spark):
+    return spark.range(101).selectExpr("id", "IF(id < 100, 'A', 'B') AS org_code", "id * 2 AS v")
+
+
+def test_row_events(changes):
+    sent = events.row_events(changes, "title")
+    bodies = [json.loads(r.value) for r in sent.collect()]
+    assert len({b["uuid"] for b in bodies}) == 101
+    assert {(b["title"], b["mime"], tuple(b["targets"])) for b in bodies} == {("title", "json", ())}
+    last = next(b for b in bodies if b["body"]["org_code"] == "B")
+    assert last["body"] == {"org_code": "B", "data": [{"id": 100, "org_code": "B", "v": 200}]}
+
+
+def test_tenant_events_hold_every_row_once(changes):
+    sent = events.tenant_events(changes, "title", ["id"], rows_per_event=10).collect()
+    of_a = [json.loads(r.value)["body"]["data"] for r in sent if r.key == "A"]
+    assert sorted(row["id"] for data in of_a for row in data) == list(range(100))
+    assert 1 < len(of_a) <= 10
+    assert max(len(data) for data in of_a) < 40
+    assert [r.n_rows for r in sent if r.key == "B"] == [1]
+
+
+def test_small_tenants_get_one_event(changes):
+    sent = events.tenant_events(changes, "title", ["id"], rows_per_event=100).collect()
+    assert sorted((r.key, r.parts, r.n_rows) for r in sent) == [("A", 1, 100), ("B", 1, 1)]
+
+
+# -- caches ------------------------------------------------------------------------
+
+
+def test_cache_scope_releases_together(spark):
+    with cache_scope() as scope:
+        one = scope.cache(spark.range(3))
+        assert scope.cache(None) is None
+        assert one.is_cached
+    assert not one.is_cached
+    scope = CacheScope()
+    two = scope.cache(spark.range(4))
+    scope.clear()
+    assert not two.is_cached
+
+
+def test_cache_scope_releases_after_an_error(spark):
+    with pytest.raises(RuntimeError), cache_scope() as scope:
+        one = scope.cache(spark.range(5))
+        raise RuntimeError
+    assert not one.is_cached
+
+
+def test_daily_cache(spark):
+    calls = []
+
+    def shops(day, org):
+        calls.append((day, org))
+        return spark.range(2)
+
+    cache = DailyCache().register("shops", shops).register("shops", lambda day, org: None)
+    first = cache.get("shops", "A", 20200101)
+    assert cache.get("shops", "A", 20200101) is first
+    cache.get("shops", "B", 20200101)
+    assert first.is_cached
+    second = cache.get("shops", "A", 20200102)
+    assert calls == [(20200101, "A"), (20200101, "B"), (20200102, "A")]
+    assert second is not first and not first.is_cached
+    cache.clear()
