@@ -87,7 +87,8 @@ def lookup_join(
     """Join ``left`` with ``right``, which holds at most one row per key.
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; for the last two
-    ``right`` may repeat keys. A ``right`` of checked size is broadcast and ``left``
+    ``right`` may repeat keys. The result has the columns of ``left`` and then the rest
+    of ``right``. A ``right`` of checked size is broadcast and ``left``
     is not shuffled. Beyond that both sides are shuffled on the key, except the
     rows of hot keys: those meet a broadcast of the few key rows they need, and
     stay where they are read.
@@ -96,26 +97,29 @@ def lookup_join(
     and derived from a frame with much the same keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if how in ("left_semi", "left_anti"):
+    semi = how in ("left_semi", "left_anti")
+    if semi:
         right = right.select(*keys)
+    columns = [*left.columns, *[c for c in right.columns if c not in keys]]
+
+    def joined(some: DataFrame, others: DataFrame) -> DataFrame:
+        return some.join(others, keys, how).select(*columns)
+
     if fits_broadcast(right, sized_by, max_broadcast_rows):
-        return left.join(F.broadcast(right), keys, how)
+        return joined(left, F.broadcast(right))
 
-    if how in ("left_semi", "left_anti"):
+    if semi:
         right = right.distinct()
     for key in keys:
         if left.schema[key].dataType != right.schema[key].dataType:
             raise TypeError(f"{key} has different types on the two sides of the join")
     hot = hot_key_hashes(left if keys_from is None else keys_from, keys)
     if not hot:
-        return left.join(right, keys, how)
+        return joined(left, right)
     is_hot = F.xxhash64(*keys).isin(hot)
     hot_right = right.filter(is_hot)
     if hot_right.count() > len(hot):
         # More rows than keys: not a lookup, so leave the split to adaptive execution.
-        return left.join(right, keys, how)
-    return (
-        left.filter(~is_hot)
-        .join(right, keys, how)
-        .unionByName(left.filter(is_hot).join(F.broadcast(hot_right), keys, how))
-    )
+        return joined(left, right)
+    cold = joined(left.filter(~is_hot), right)
+    return cold.unionByName(joined(left.filter(is_hot), F.broadcast(hot_right)))

@@ -19,7 +19,7 @@ from tenantflow.plans.retail_model import MONEY, RetailModel
 from tenantflow.session import new_location
 from tenantflow.sinks import tables
 from tenantflow.sources.tenants import query_tenant, scan_tenants
-from tenantflow.streaming.refresh import sales_of
+from tenantflow.streaming.refresh import rows_of
 
 AS_OF = dt.date(1998, 7, 1)
 WEEK_BEFORE = AS_OF - dt.timedelta(days=7)
@@ -444,7 +444,7 @@ def signal_dedupe(m: RetailModel) -> DataFrame:
 def signal_semi_sales(m: RetailModel) -> DataFrame:
     """The sales of the tenants that signalled on the last day."""
     recent = m.signal_messages().filter(F.col("ts") >= instant(SIGNALS_SINCE))
-    return sales_of(m.customer_sales(), messages.latest_signals(messages.parse_signals(recent)))
+    return rows_of(m.customer_sales(), messages.latest_signals(messages.parse_signals(recent)))
 
 
 @query

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from tenantflow.model import SyncSpec
+from tenantflow.model import IncrementSpec, SyncSpec, TenantRef
 from tenantflow.operators.binding import union_statements
 from tenantflow.operators.incremental import SyncResult, change_feed, newer_than, read_marker
 from tenantflow.operators.upsert import upsert
 from tenantflow.session import staged
 from tenantflow.sinks import tables
+from tenantflow.sources import jdbc
+from tenantflow.sources.tenants import SourceRegistry, render_marker
 
 
 @dataclass(frozen=True)
@@ -29,7 +31,11 @@ class FileTables:
         return self.spark.read.parquet(self.path(table))
 
 
-def run_job(spec: SyncSpec, statements: Sequence[DataFrame], target: FileTables) -> SyncResult:
+#: Frames to load, or a function that makes them from the marker to start after.
+Statements = Sequence[DataFrame] | Callable[[str | None], Sequence[DataFrame]]
+
+
+def run_job(spec: SyncSpec, statements: Statements, target: FileTables) -> SyncResult:
     """Load the statements of a job into its targets and return what changed.
 
     An incremental job replaces rows by key, a clearing job replaces the table, any
@@ -38,16 +44,19 @@ def run_job(spec: SyncSpec, statements: Sequence[DataFrame], target: FileTables)
     """
     paths = [target.path(table) for table in spec.target_tables]
     if not spec.increment:
-        bound = union_statements(statements, spec.target_columns, spec.bind)
-        loaded = staged(bound, spec.name)
+        frames = statements(None) if callable(statements) else statements
+        loaded = staged(union_statements(frames, spec.target_columns, spec.bind), spec.name)
+        load = tables.full_refresh if spec.clear_before_load else tables.append
         for path in paths:
-            load = tables.full_refresh if spec.clear_before_load else tables.append
             load(loaded, path, spec.partition_by)
         return SyncResult(loaded, None, None)
 
     local, remote = spec.increment.local_field, spec.increment.remote_field
     marker = read_marker(target.read(spec.target_tables[0]), local)
-    newer = [newer_than(s, remote, marker) for s in statements]
+    if callable(statements):
+        newer = statements(marker)
+    else:
+        newer = [newer_than(s, remote, marker) for s in statements]
     delta = staged(union_statements(newer, spec.target_columns, spec.bind), spec.name)
     for table, path in zip(spec.target_tables, paths, strict=True):
         current = target.read(table)
@@ -61,3 +70,76 @@ def run_job(spec: SyncSpec, statements: Sequence[DataFrame], target: FileTables)
     loaded = target.read(spec.target_tables[0])
     notify = spec.increment.notify_change
     return SyncResult(loaded, change_feed(loaded, local, marker) if notify else None, marker)
+
+
+def clears_target(pre_sql: Sequence[str], target_tables: Sequence[str]) -> bool:
+    """Whether the statements before a load empty its targets.
+
+    Emptying is the one thing they are used for; Spark cannot run any other.
+    """
+    cleared = set()
+    for text in (t.strip().rstrip(";").strip() for t in pre_sql):
+        if not text:
+            continue
+        words = text.replace("`", "").split()
+        verb = [w.lower() for w in words[:-1]]
+        if verb not in (["truncate"], ["truncate", "table"], ["delete", "from"]):
+            raise ValueError(f"cannot run {text!r} before a load")
+        cleared.add(words[-1])
+    if cleared - set(target_tables):
+        raise ValueError(f"clears tables that are not loaded: {cleared - set(target_tables)}")
+    return bool(cleared)
+
+
+def spec_of(definition: Row, **settings) -> SyncSpec:
+    """The specification of a scanned definition.
+
+    A definition names no keys, so those of an incremental job come as ``settings``,
+    as does ``bind`` for a job whose columns are in another order than its target's.
+    """
+    increment = definition.increment_config
+    return SyncSpec(
+        **{
+            "org_code": definition.org_code,
+            "name": definition.name,
+            "mode": definition["mode"],
+            "target_tables": tuple(definition.target_tables),
+            "target_columns": tuple(definition.target_columns),
+            "clear_before_load": clears_target(definition.pre_sql, definition.target_tables),
+            "increment": IncrementSpec.from_config(increment.asDict() if increment else None),
+            "task_priority": definition.task_priority,
+            "source_tag": definition.preferred_db_config_name,
+            "fetch_size": definition.fetch_size,
+            **settings,
+        }
+    )
+
+
+def source_statements(
+    spark: SparkSession,
+    spec: SyncSpec,
+    queries: Sequence[str],
+    registry: SourceRegistry,
+    tenant: TenantRef,
+    session: str | None = None,
+) -> Callable[[str | None], list[DataFrame]]:
+    """The queries of a job as frames on the tenant's source database.
+
+    A query with a place for the marker condition gets it there, any other is
+    filtered by the marker column of its output.
+    """
+    connection = jdbc.connection_options(registry.settings_for(tenant, spec.source_tag))
+
+    def frames(marker: str | None) -> list[DataFrame]:
+        made = []
+        for query in queries:
+            field = spec.increment.remote_field if spec.increment else None
+            text, placed = render_marker(query, field, marker)
+            options = jdbc.read_options(
+                connection, query=text, fetch_size=spec.fetch_size, session=session
+            )
+            df = jdbc.read(spark, options)
+            made.append(df if placed or field is None else newer_than(df, field, marker))
+        return made
+
+    return frames

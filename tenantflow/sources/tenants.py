@@ -18,6 +18,9 @@ TENANT_TAG = "retailer"
 
 _IDENTIFIER = re.compile(r"[A-Za-z0-9_]+")
 
+# Fixed value: the place of the marker condition in a source query.
+_MARKER_PLACE = re.compile(r"\{\{\s*max_condition_pit\s*\}\}")
+
 
 class SourceRegistry:
     """Connection settings by tag."""
@@ -65,6 +68,16 @@ def render_remote(template: str, tenant: TenantRef, params: Mapping | None = Non
     )
 
 
+def render_marker(query: str, field: str | None, marker: str | None) -> tuple[str, bool]:
+    """The query with the marker condition in its place, and whether it has such a place.
+
+    Without a marker every row is wanted.
+    """
+    condition = "1=1" if field is None or marker is None else f"{field} > {literal(marker)}"
+    text, places = _MARKER_PLACE.subn(lambda _: condition, query)
+    return text, places > 0
+
+
 def query_tenant(
     spark: SparkSession, template: str, tenant: TenantRef, params: Mapping | None = None
 ) -> DataFrame:

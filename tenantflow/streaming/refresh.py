@@ -19,10 +19,20 @@ BATCH_INTERVAL = "60 seconds"
 
 FACT_PARTITIONS = ("org_code", "dim_date_id")
 
+#: Tenants that a filter may list.
+LISTED_TENANTS = 500
 
-def sales_of(sales: DataFrame, tenants: DataFrame) -> DataFrame:
-    """The sales of the tenants in a list."""
-    return lookup_join(sales, tenants, "org_code", "left_semi")
+
+def rows_of(df: DataFrame, tenants: DataFrame) -> DataFrame:
+    """The rows of the tenants in a list.
+
+    A list of few tenants becomes a filter, which selects partitions and reaches
+    remote databases; a longer one is joined.
+    """
+    named = tenants.select("org_code").distinct().limit(LISTED_TENANTS + 1).collect()
+    if len(named) <= LISTED_TENANTS:
+        return df.filter(F.col("org_code").isin([r.org_code for r in named]))
+    return lookup_join(df, tenants, "org_code", "left_semi")
 
 
 def refresh_batch(
@@ -42,8 +52,7 @@ def refresh_batch(
         tenants = scope.cache(latest_signals(parse_signals(messages)))
         if tenants.isEmpty():
             return
-        named = sales_of(sales(), tenants)
-        facts = fct_orders(named, guides(), nodes()).filter(F.col("org_code").isNotNull())
+        facts = fct_orders(rows_of(sales(), tenants), rows_of(guides(), tenants), nodes())
         replace_partitions(facts, path, FACT_PARTITIONS)
 
 

@@ -24,6 +24,9 @@ def test_hot_keys_do_not_change_the_result(sides, rows, shuffled, how):
     assert len(lookups.hot_key_hashes(left, ["k"])) >= 2
     expected = rows(left.join(right, "k", how))
     assert rows(lookups.lookup_join(left, right, "k", how)) == expected
+    turned = lookups.lookup_join(left.select("v", "k"), right, "k", how)
+    assert turned.columns[:2] == ["v", "k"]
+    assert rows(turned.select("k", "v", *turned.columns[2:])) == expected
 
 
 def test_hot_rows_are_not_shuffled(sides, shuffled):

@@ -3,15 +3,19 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from pyspark.sql import Row
 
 from tenantflow.model import TenantRef
+from tenantflow.plans.runner import FileTables, clears_target, run_job, source_statements, spec_of
 from tenantflow.sources import definitions, jdbc
 from tenantflow.sources.tenants import (
     SourceRegistry,
     identifier,
     literal,
     query_tenant,
+    render_marker,
     render_remote,
+    scan_tenant_databases,
     scan_tenants,
 )
 
@@ -132,6 +136,96 @@ def test_tenant_scan(spark, rows):
         scan_tenants([], read)
 
 
+@pytest.fixture
+def remote(spark, monkeypatch):
+    """Collects reader options and answers every read with the same rows."""
+    calls = []
+
+    def read(session, options):
+        calls.append(options)
+        return spark.createDataFrame([(1, 10), (2, 20)], "k int, at int")
+
+    monkeypatch.setattr(jdbc, "read", read)
+    return calls
+
+
+def test_tenant_databases(spark, remote, rows):
+    registry = SourceRegistry({"retailer": {**CONFIG, "database_type": "mysql"}})
+    split = jdbc.RangePartitions("k", 0, 9, 3)
+    found = scan_tenant_databases(
+        spark,
+        registry,
+        [A, B],
+        "select k, at from ${dw_name}.t where day = ${day}",
+        {"day": 20200101},
+        partitions=lambda tenant: split if tenant == B else None,
+    )
+    assert rows(found) == [(1, 10, "A"), (1, 10, "B"), (2, 20, "A"), (2, 20, "B")]
+    assert [c["url"] for c in remote] == ["jdbc:mysql://h:1/ADW", "jdbc:mysql://h:1/BDW"]
+    assert remote[0]["query"] == "select k, at from ADW.t where day = 20200101"
+    assert remote[1]["dbtable"] == "(select k, at from BDW.t where day = 20200101) tmp"
+    assert remote[1]["numPartitions"] == "3"
+
+
+def test_marker_place():
+    text = "select * from t where {{max_condition_pit}} and {{ max_condition_pit }}"
+    assert render_marker(text, "a.at", "5") == ("select * from t where a.at > '5' and a.at > '5'", True)
+    assert render_marker(text, "at", None) == ("select * from t where 1=1 and 1=1", True)
+    assert render_marker(text, None, "5")[0].count("1=1") == 2
+    assert render_marker("select 1", "at", "5") == ("select 1", False)
+
+
+@pytest.mark.parametrize(
+    ("pre_sql", "cleared"),
+    [
+        ([], False),
+        (["", " "], False),
+        (["truncate t"], True),
+        (["TRUNCATE TABLE `t`;"], True),
+        (["delete from t;"], True),
+    ],
+)
+def test_statements_before_a_load(pre_sql, cleared):
+    assert clears_target(pre_sql, ["t"]) is cleared
+
+
+@pytest.mark.parametrize("text", ["delete from t where x = 1", "call p()", "truncate other"])
+def test_other_statements_before_a_load_are_refused(text):
+    with pytest.raises(ValueError):
+        clears_target([text], ["t"])
+
+
+def definition(**changes):
+    base = {
+        "org_code": "A", "mode": "ss", "name": "job", "target_tables": ["t"],
+        "target_columns": ["k", "at"], "pre_sql": ["truncate t"], "task_priority": 2,
+        "increment_config": None, "preferred_db_config_name": "order", "fetch_size": 9,
+    }
+    return Row(**{**base, **changes})
+
+
+def test_defined_job_runs_from_its_source(spark, remote, rows, tmp_path):
+    registry = SourceRegistry({"order": {**CONFIG, "database_type": "mysql"}})
+    spec = spec_of(definition())
+    assert (spec.clear_before_load, spec.source_tag, spec.task_priority) == (True, "order", 2)
+    tables = FileTables(spark, str(tmp_path))
+    texts = ["select k, at from x", "select k, at from y"]
+    run_job(spec, source_statements(spark, spec, texts, registry, A, "set x"), tables)
+    assert rows(tables.read("t")) == [(1, 10), (1, 10), (2, 20), (2, 20)]
+    assert [c["query"] for c in remote] == texts
+    assert {(c["fetchsize"], c["sessionInitStatement"]) for c in remote} == {("9", "set x")}
+
+    increment = Row(remote_field="at", local_field="at", notify_change=True)
+    changed = definition(pre_sql=[], increment_config=increment)
+    spec = spec_of(changed, keys=("k",), order_by=("at",))
+    spark.createDataFrame([(1, 10)], "k int, at int").write.mode("overwrite").parquet(tables.path("t"))
+    texts = ["select k, at from x", "select k, at from y where {{max_condition_pit}}"]
+    result = run_job(spec, source_statements(spark, spec, texts, registry, A), tables)
+    assert remote[-1]["query"] == "select k, at from y where at > '10'"
+    assert rows(tables.read("t")) == [(1, 10), (2, 20)]
+    assert (result.old_marker, result.changes.count()) == ("10", 1)
+
+
 def test_definitions(spark, tmp_path):
     def put(path, text):
         file = tmp_path / path

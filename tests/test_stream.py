@@ -91,6 +91,21 @@ def test_changed_sales_replace_the_facts_of_the_day(spark, source):
     assert facts().filter("org_code = 'T1'").count() == 10
 
 
+def test_many_tenants_are_joined(source, spark, rows, monkeypatch):
+    sales = source[3]()
+    tenants = spark.createDataFrame([("T0",), ("T2",), ("T2",), ("T9",)], "org_code string")
+    listed = refresh.rows_of(sales, tenants)
+    monkeypatch.setattr(refresh, "LISTED_TENANTS", 1)
+    assert rows(refresh.rows_of(sales, tenants)) == rows(listed)
+    assert listed.count() == 20
+
+
+def test_named_tenants_select_partitions(source, spark):
+    tenants = spark.createDataFrame([("T0",)], "org_code string")
+    plan = refresh.rows_of(source[3](), tenants)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(org_code" in plan
+
+
 def test_batch_without_signals_writes_nothing(spark, source, tmp_path):
     run, signal, *_ = source
     signal("1.txt", "{broken", "")
