@@ -36,7 +36,7 @@ def payload(df: DataFrame) -> tuple[int, int]:
     row_bytes = F.lit(8 * len(df.columns))
     for length in lengths:
         row_bytes = row_bytes + F.coalesce(length, F.lit(0))
-    rows, size = df.agg(F.count(F.lit(1)), F.sum(row_bytes.cast("long"))).first()
+    [(rows, size)] = df.agg(F.count(F.lit(1)), F.sum(row_bytes.cast("long"))).collect()
     return rows, size or 0
 
 
@@ -66,13 +66,10 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float | None = Non
     share = HOT_SHARE if share is None else share
     most = int(1 / share) + 1
     top = F.expr(f"approx_top_k(key_hash, {most}, {max(_SKETCH_ITEMS, 8 * most)})")
-    found = (
-        df.select(F.xxhash64(*keys).alias("key_hash"))
-        .agg(F.count(F.lit(1)).alias("total"), top.alias("top"))
-        .first()
-    )
-    least = max(share * found["total"], HOT_ROWS)
-    return [item["item"] for item in found["top"] or [] if item["count"] > least]
+    hashed = df.select(F.xxhash64(*keys).alias("key_hash"))
+    [(total, frequent)] = hashed.agg(F.count(F.lit(1)), top).collect()
+    least = max(share * total, HOT_ROWS)
+    return [item["item"] for item in frequent or [] if item["count"] > least]
 
 
 def lookup_join(
@@ -82,6 +79,7 @@ def lookup_join(
     how: str = "inner",
     sized_by: DataFrame | None = None,
     keys_from: DataFrame | None = None,
+    fits: bool | None = None,
     max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join ``left`` with ``right``, which holds at most one row per key.
@@ -93,6 +91,9 @@ def lookup_join(
     rows of hot keys: those meet a broadcast of the few key rows they need, and
     stay where they are read.
 
+    ``fits`` is the outcome of an earlier :func:`fits_broadcast` on a frame that bounds
+    ``right``, and saves measuring again.
+
     Hot keys are looked for in ``left``, or in ``keys_from`` where ``left`` is costly
     and derived from a frame with much the same keys.
     """
@@ -105,7 +106,9 @@ def lookup_join(
     def joined(some: DataFrame, others: DataFrame) -> DataFrame:
         return some.join(others, keys, how).select(*columns)
 
-    if fits_broadcast(right, sized_by, max_broadcast_rows):
+    if fits is None:
+        fits = fits_broadcast(right, sized_by, max_broadcast_rows)
+    if fits:
         return joined(left, F.broadcast(right))
 
     if semi:

@@ -54,10 +54,22 @@ def values(spark, inputs, kind, expression):
 
 
 def test_source_timestamps(spark):
-    inputs = ["2018-10-14 01:02:03", "18-10-14 01:02:03", "soon", "", None]
     moment = dt.datetime(2018, 10, 14, 1, 2, 3)
-    found = values(spark, inputs, "string", dates.source_timestamp)
-    assert found == [moment, moment, None, None, None]
+    cases = {
+        "2018-10-14 01:02:03": moment,
+        "18-10-14 01:02:03": moment,
+        "18-10-14 1:2:3": moment,
+        "18-10-14": dt.datetime(2018, 10, 14),
+        "18-13-14 01:02:03": None,
+        "18-10-14 25:02:03": None,
+        "2018": None,
+        "2018-10-14 01:02:03Z": None,
+        "soon": None,
+        "": None,
+        None: None,
+    }
+    found = values(spark, list(cases), "string", dates.source_timestamp)
+    assert found == list(cases.values())
 
 
 def test_month_of_day_key(spark):
