@@ -295,10 +295,13 @@ def plan_extract(tables: Tables, as_of: dt.datetime) -> DataFrame:
             F.col("plan_name").alias("plan_item_name"), F.col("end_date").alias("flow_end_date"),
         )
     )
-    running = lookup_join(items, masters, "plan_no").filter(
+    few = fits_broadcast(masters)
+    running = lookup_join(items, masters, "plan_no", fits=few).filter(
         now.between(F.col("begin_date"), F.coalesce("stop_date", "flow_end_date"))
     )
-    branches = lookup_join(tables["t_rm_plan_branch"], masters, "plan_no", "left_semi")
+    branches = lookup_join(
+        tables["t_rm_plan_branch"], masters, "plan_no", "left_semi", fits=few
+    )
     listed = lookup_join(
         running,
         branch_list(branches),
