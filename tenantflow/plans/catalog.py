@@ -15,7 +15,7 @@ from tenantflow.operators import events, incremental, jobs, reconcile
 from tenantflow.operators.binding import bind, union_statements
 from tenantflow.operators.upsert import latest_per_key, upsert
 from tenantflow.plans import extracts, facts
-from tenantflow.plans.retail_model import MONEY, RetailModel
+from tenantflow.plans.retail_model import RetailModel
 from tenantflow.session import new_location
 from tenantflow.sinks import tables
 from tenantflow.sources.tenants import query_tenant, scan_tenants

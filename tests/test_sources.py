@@ -243,7 +243,8 @@ def test_definitions(spark, tmp_path):
     put("A/plan/p/meta.json", '{"increment_config": {}}')
     put("A/plan/no meta/query_sql.0.sql", "select 1")
     put("A/other/p/meta.json", "{}")
-    found = {(r.org_code, r["mode"], r.name): r for r in definitions.scan_definitions(spark, str(tmp_path)).collect()}
+    scanned = definitions.scan_definitions(spark, str(tmp_path)).collect()
+    found = {(r.org_code, r["mode"], r.name): r for r in scanned}
     assert sorted(found) == [("A", "plan", "p"), ("A", "ss", "sales one")]
     job = found["A", "ss", "sales one"]
     assert job.query_sql == ["select 'two'", "select 'ten'\n-- 无"]
@@ -252,5 +253,6 @@ def test_definitions(spark, tmp_path):
     assert (job.fetch_size, job.task_priority, job.preferred_db_config_name) == (5, 3, "order")
     assert job.increment_config.local_field == "l"
     plain = found["A", "plan", "p"]
-    assert (plain.fetch_size, plain.task_priority, plain.preferred_db_config_name) == (1024, 0, "default")
+    assert (plain.fetch_size, plain.task_priority) == (1024, 0)
+    assert plain.preferred_db_config_name == "default"
     assert (plain.query_sql, plain.target_tables, plain.increment_config) == ([], [], None)

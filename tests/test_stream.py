@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tenantflow.operators import events
 from tenantflow.operators.cache import CacheScope, DailyCache, cache_scope
+from tenantflow.plans.extracts import dim_shop, of_tenant
 from tenantflow.plans.facts import fct_orders
 from tenantflow.streaming import refresh, signals
 
@@ -142,7 +143,8 @@ def test_kafka_source_options():
     assert signals.kafka_options("h:1", "topic") == {
         "kafka.bootstrap.servers": "h:1", "subscribe": "topic", "startingOffsets": "latest",
     }
-    assert signals.kafka_options("h", "t", {"startingOffsets": "earliest"})["startingOffsets"] == "earliest"
+    older = signals.kafka_options("h", "t", {"startingOffsets": "earliest"})
+    assert older["startingOffsets"] == "earliest"
     assert refresh.BATCH_INTERVAL == "60 seconds"
 
 
@@ -199,6 +201,17 @@ def test_cache_scope_releases_after_an_error(spark):
     assert not one.is_cached
 
 
+def test_daily_cache_of_shops(spark, rows):
+    shops = spark.createDataFrame(
+        [("A", 1, " s ", "n", 1), ("A", 2, "t", "n", 0), ("B", 3, "u", "n", 1)],
+        "org_code string, dim_shop_id long, shop_code string, shop_name string, online int",
+    )
+    cache = DailyCache().register("shops", lambda day, org: dim_shop(of_tenant(shops, org)))
+    assert rows(cache.get("shops", "A", 20200101)) == [(1, "s", "n")]
+    assert rows(cache.get("shops", "B", 20200101)) == [(3, "u", "n")]
+    cache.clear()
+
+
 def test_daily_cache(spark):
     calls = []
 

@@ -101,6 +101,17 @@ def test_staged_rows_stay_as_they_were(spark, data, rows, tmp_path):
     assert rows(kept) == rows(data)
 
 
+def test_messages_are_fixed_before_they_are_sent(spark, monkeypatch):
+    sent = []
+    monkeypatch.setattr(kafka, "staged", lambda df, label: sent.append(df) or df.limit(0))
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.format", lambda self, name: self)
+    monkeypatch.setattr("pyspark.sql.DataFrameWriter.save", lambda self: None)
+    messages = spark.sql("SELECT 'k' AS key, 'v' AS value, 1 AS part")
+    kafka.send(messages, kafka.kafka_options("h", "t"))
+    kafka.send(messages.drop("key"), kafka.kafka_options("h", "t"))
+    assert [df.columns for df in sent] == [["key", "value"], ["value"]]
+
+
 def test_kafka_options():
     assert kafka.kafka_options("h:1", "signals", {"kafka.acks": "all"}) == {
         "kafka.bootstrap.servers": "h:1",
