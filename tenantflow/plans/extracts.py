@@ -302,12 +302,14 @@ def plan_extract(tables: Tables, as_of: dt.datetime) -> DataFrame:
     branches = lookup_join(
         tables["t_rm_plan_branch"], masters, "plan_no", "left_semi", fits=few
     )
+    # A list holds less than the branches it is made of, which are cheaper to measure.
+    counted_first = None if few else tables["t_rm_plan_branch"]
     listed = lookup_join(
         running,
         branch_list(branches),
         "plan_no",
-        sized_by=tables["t_rm_plan_branch"],
         keys_from=items,
+        fits=fits_broadcast(branches, sized_by=counted_first),
     )
     return listed.select(
         "plan_no",
