@@ -23,8 +23,8 @@ _VECTORS = """
 WITH RECURSIVE usable AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
   WHERE embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b
   FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
@@ -43,11 +43,11 @@ FROM embeddings e LEFT JOIN smallest s ON e.vec_id = s.a LEFT JOIN counted c ON
 
 _NEAR = """
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(
+  SELECT doc_id, [x FOR x IN
            regexp_split_to_array(
              translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-             '[\\x20\\x09-\\x0D]+'),
-           w -> w <> '') AS w
+             '[\\x20\\x09-\\x0D]+')
+           IF x <> ''] AS w
   FROM documents
 ), shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS shingle
