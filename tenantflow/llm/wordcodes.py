@@ -81,50 +81,50 @@ class WordTable:
 
 
 class TextEncoder:
-    """Encodes texts one after another, with a bounded memory of words and chunks.
+    """Encodes texts one after another, with a memory of at most ``max_known`` entries.
 
-    A chunk is what stands between white space. Chunks repeat often enough that most
-    of a text is looked up without being split into words. When a memory is full it
-    starts anew, which costs time and changes no result.
+    What stands between white space repeats often enough that most of a text is looked
+    up without being split into words. Once the memory is full it stays as it is, and
+    what it does not hold is encoded anew in each text.
     """
 
-    def __init__(self, path: str, max_words: int = 600_000, max_chunks: int = 400_000) -> None:
+    def __init__(self, path: str, max_known: int = 1_000_000) -> None:
         self._table = WordTable(path)
-        self._words: dict[str, bytes] = {}
-        self._chunks: dict[str, bytes] = {}
-        self._max_words, self._max_chunks = max_words, max_chunks
+        self._known: dict[str, bytes] = {}
+        self._max_known = max_known
 
     def encode(self, text: str) -> bytes:
-        if not is_plain(text):
-            pieces = split_words(text)
-            self._learn_words(set(pieces))
-            return b"".join(map(self._words.__getitem__, pieces))
-        chunks = text.split()
+        chunks = text.lower().split() if is_plain(text) else _PIECE_OF_TEXT.findall(text)
+        known = self._known
         try:
-            return b"".join(map(self._chunks.__getitem__, chunks))
+            return b"".join(map(known.__getitem__, chunks))
         except KeyError:
-            self._learn_chunks(set(chunks))
-        found = b"".join(map(self._chunks.__getitem__, chunks))
-        self._trim()
+            new = self._encode_new({chunk for chunk in chunks if chunk not in known}, is_plain(text))
+        if len(known) < self._max_known:
+            known.update(new)
+            return b"".join(map(known.__getitem__, chunks))
+        return b"".join([known[chunk] if chunk in known else new[chunk] for chunk in chunks])
+
+    def _encode_new(self, chunks: set[str], plain: bool) -> dict[str, bytes]:
+        """The ids of chunks that are not known, and of the words in them."""
+        if not plain:
+            return dict(zip(chunks, self._table.encode(list(chunks)), strict=True))
+        known, found = self._known, {}
+        parts = []
+        words = set()
+        for chunk in chunks:
+            pieces = _WORD.findall(chunk)
+            if len(pieces) > 1:
+                parts.append((chunk, pieces))
+                words.update(pieces)
+            else:
+                words.add(chunk)
+        words = [word for word in words if word not in known]
+        found.update(zip(words, self._table.encode(words), strict=True))
+        for chunk, pieces in parts:
+            found[chunk] = b"".join([known[p] if p in known else found[p] for p in pieces])
         return found
 
-    def _learn_chunks(self, chunks: set[str]) -> None:
-        parts = {c: _WORD.findall(c.lower()) for c in chunks if c not in self._chunks}
-        self._learn_words({word for words in parts.values() for word in words})
-        known = self._words.__getitem__
-        for chunk, words in parts.items():
-            self._chunks[chunk] = b"".join(map(known, words))
-
-    def _learn_words(self, words: set[str]) -> None:
-        if len(self._words) > self._max_words:
-            self._words.clear()
-        new = [word for word in words if word not in self._words]
-        self._words.update(zip(new, self._table.encode(new), strict=True))
-
-    def _trim(self) -> None:
-        if len(self._chunks) > self._max_chunks:
-            self._chunks.clear()
-
 
 _encoders: dict[str, TextEncoder] = {}
 
