@@ -47,10 +47,11 @@ def _chunk_type(bits: int) -> np.dtype:
 def encode_codes(ids: np.ndarray, chunk_bits: tuple[int, ...] = CHUNK_BITS) -> bytes:
     """The codes of ``ids`` as one string of bytes; the chunks have 32 bits in sum."""
     parts = [_MAGIC, struct.pack("<B", len(chunk_bits)), bytes(chunk_bits)]
-    rest = ids.astype(np.uint64)
+    rest = ids
     for bits in chunk_bits:
-        parts += [struct.pack("<Q", len(rest)), (rest & ((1 << bits) - 1)).astype(_chunk_type(bits)).tobytes()]
-        rest = rest >> np.uint64(bits)
+        chunks = (rest & np.uint32((1 << bits) - 1)).astype(_chunk_type(bits))
+        parts += [struct.pack("<Q", len(rest)), chunks.tobytes()]
+        rest = rest >> np.uint32(bits)
         more = rest != 0
         words = np.zeros(-(-len(more) // _RANK_BITS) * _RANK_WORDS, dtype="<u8")
         packed = np.packbits(more, bitorder="little")
@@ -115,21 +116,28 @@ class Codes:
                 break
         return found.astype(ID_TYPE)
 
+    @staticmethod
+    def _rank(words: np.ndarray, ranks: np.ndarray, position: int) -> int:
+        """The number of ones before one position."""
+        block, word, bit = position // _RANK_BITS, position // 64, position % 64
+        found = int(ranks[block]) + int(np.bitwise_count(words[block * _RANK_WORDS : word]).sum())
+        return found + (int(words[word]) & ((1 << bit) - 1)).bit_count() if bit else found
+
     def between(self, start: int, end: int) -> np.ndarray:
         """The ids of the positions from ``start`` up to ``end``."""
-        found = np.zeros(end - start, dtype=np.uint64)
-        where, shift = np.arange(end - start), 0
+        found = np.zeros(end - start, dtype=ID_TYPE)
+        where, shift = slice(None), 0
         for bits, (chunks, words, ranks) in zip(self.chunk_bits, self.levels):
             if start == end:
                 break
-            found[where] |= chunks[start:end].astype(np.uint64) << np.uint64(shift)
+            found[where] |= chunks[start:end].astype(np.uint32) << np.uint32(shift)
             first = start // 64
             flags = np.unpackbits(words[first : -(-end // 64)].view(np.uint8), bitorder="little")
-            more = flags[start - first * 64 : end - first * 64] != 0
-            where, shift = where[more], shift + bits
-            start = int(self._ranks(words, ranks, np.array([start], dtype=np.int64))[0])
-            end = start + len(where)
-        return found.astype(ID_TYPE)
+            more = np.flatnonzero(flags[start - first * 64 : end - first * 64])
+            where, shift = more if shift == 0 else where[more], shift + bits
+            start = self._rank(words, ranks, start)
+            end = start + len(more)
+        return found
 
 
 def _segment_schema(id_type: T.DataType) -> T.StructType:
