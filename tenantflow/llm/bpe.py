@@ -36,7 +36,9 @@ from tenantflow.llm.wordcodes import ID_TYPE, WordTable, load_tokenizer, split_w
 from tenantflow.session import staged
 
 # Kinds of rows of a block, in the order in which a block is put together.
-_BUCKETS, _WORDS, _DOCUMENT = 0, 1, 2
+_BUCKETS, _WORDS, _DOCUMENTS = 0, 1, 2
+_DOCS_OF_ROW = 16
+_SMALL = 200
 _BLOCK_SHIFT = 24
 _MOST_KEPT = 1_000_000
 
@@ -52,8 +54,33 @@ def _unpacked(raw: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
+def _packed_numbers(values: np.ndarray) -> bytes:
+    """Word numbers: of small ones a byte, of others three; compressed."""
+    if len(values) and int(values.max()) >= _SMALL + ((256 - _SMALL) << 16):
+        return b"\0" + _packed(values)
+    rest = values[values >= _SMALL] - _SMALL
+    first = values.astype(np.uint8)
+    first[values >= _SMALL] = _SMALL + (rest >> 16)
+    others = np.ascontiguousarray(rest.astype("<u2").view(np.uint8).reshape(-1, 2).T)
+    return b"\1" + zstandard.ZstdCompressor(level=1).compress(first.tobytes() + others.tobytes())
+
+
+def _unpacked_numbers(raw: bytes, n: int) -> np.ndarray:
+    if raw[:1] == b"\0":
+        return _unpacked(raw[1:])
+    found = np.frombuffer(zstandard.ZstdDecompressor().decompress(raw[1:]), np.uint8)
+    values, others = found[:n].astype(np.uint32), found[n:].reshape(2, -1)
+    large = values >= _SMALL
+    rest = others[0] | (others[1].astype(np.uint32) << 8)
+    values[large] = ((values[large] - _SMALL) << 16) + rest + _SMALL
+    return values
+
+
 class _Block:
-    """The distinct words of a block and its documents as numbers of words."""
+    """The distinct words of a block and its documents as numbers of words.
+
+    Words are numbered by how often they occur in the block.
+    """
 
     def __init__(self, number: int, n_buckets: int) -> None:
         self.number, self.n_buckets = number, n_buckets
@@ -70,13 +97,22 @@ class _Block:
             for word in words:
                 codes.setdefault(word, len(codes))
             numbers = np.fromiter(map(codes.__getitem__, words), "<u4", len(words))
-        self.docs.append((self.number, _DOCUMENT, None, doc_id, _packed(numbers)))
+        self.docs.append((doc_id, numbers))
         self.chars += len(text)
 
     def rows(self) -> list[tuple]:
-        words = [word.encode("utf-8", "surrogatepass") for word in self.codes]
+        seen = list(self.codes)
+        often = np.bincount(np.concatenate([n for _, n in self.docs]), minlength=len(seen))
+        by_rank = np.argsort(-often, kind="stable")
+        rank = np.empty(len(seen), dtype="<u4")
+        rank[by_rank] = np.arange(len(seen))
+        words = [seen[k].encode("utf-8", "surrogatepass") for k in by_rank.tolist()]
         buckets = np.fromiter((zlib.crc32(w) % self.n_buckets for w in words), "<u4", len(words))
-        rows = [(self.number, _BUCKETS, None, None, _packed(buckets)), *self.docs]
+        rows = [(self.number, _BUCKETS, None, None, None, _packed(buckets))]
+        for at in range(0, len(self.docs), _DOCS_OF_ROW):
+            doc_ids, numbers = zip(*self.docs[at : at + _DOCS_OF_ROW])
+            payload = _packed_numbers(rank[np.concatenate(numbers)])
+            rows.append((self.number, _DOCUMENTS, None, doc_ids, [len(n) for n in numbers], payload))
         order = np.argsort(buckets, kind="stable")
         bounds = np.searchsorted(buckets[order], np.arange(self.n_buckets + 1))
         squeeze = zstandard.ZstdCompressor(level=3).compress
@@ -84,7 +120,7 @@ class _Block:
             chosen = order[bounds[bucket] : bounds[bucket + 1]].tolist()
             if chosen:
                 page = b"\n".join([words[k] for k in chosen])
-                rows.append((self.number, _WORDS, bucket, None, squeeze(page)))
+                rows.append((self.number, _WORDS, bucket, None, None, squeeze(page)))
         return rows
 
 
@@ -94,7 +130,8 @@ def _split_into_blocks(docs: DataFrame, block_chars: int, n_buckets: int) -> Dat
             T.StructField("block", T.LongType()),
             T.StructField("kind", T.IntegerType()),
             T.StructField("bucket", T.IntegerType()),
-            T.StructField("doc_id", docs.select(F.col("doc_id")).schema.fields[0].dataType),
+            T.StructField("doc_ids", T.ArrayType(docs.select(F.col("doc_id")).schema.fields[0].dataType)),
+            T.StructField("sizes", T.ArrayType(T.IntegerType())),
             T.StructField("payload", T.BinaryType()),
         ]
     )
@@ -126,7 +163,7 @@ def _encode_words(blocks: DataFrame, tokenizer: str, n_buckets: int) -> DataFram
         current = None
         for batch in batches:
             rows = []
-            for block, kind, bucket, doc_id, payload in zip(*(c.to_pylist() for c in batch.columns)):
+            for block, bucket, payload in zip(*(batch.column(c).to_pylist() for c in (0, 2, 5))):
                 if bucket != current or len(known) > _MOST_KEPT:
                     known, current = {}, bucket
                 words = unpack(payload).split(b"\n")
@@ -136,7 +173,7 @@ def _encode_words(blocks: DataFrame, tokenizer: str, n_buckets: int) -> DataFram
                 ids = [known[word] for word in words]
                 sizes = np.fromiter((len(x) // ID_TYPE.itemsize for x in ids), "<u4", len(ids))
                 numbers = np.concatenate([[len(ids)], sizes, np.frombuffer(b"".join(ids), ID_TYPE)])
-                rows.append((block, kind, bucket, doc_id, _packed(numbers)))
+                rows.append((block, _WORDS, bucket, None, None, _packed(numbers)))
             if rows:
                 yield record_batch(arrow, zip(*rows))
 
@@ -162,7 +199,7 @@ def encode_and_decode(
     pages = _encode_words(blocks, tokenizer, n_buckets)
     schema = T.StructType(
         [
-            T.StructField("doc_id", blocks.schema["doc_id"].dataType),
+            T.StructField("doc_id", blocks.schema["doc_ids"].dataType.elementType),
             T.StructField("n_tokens", T.LongType()),
             T.StructField("ids_sha256", T.StringType()),
             T.StructField("decoded_sha256", T.StringType()),
@@ -181,7 +218,7 @@ def encode_and_decode(
         buckets, numbers, found = None, [], None
         for batch in batches:
             rows = []
-            for kind, doc_id, payload in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4))):
+            for kind, doc_ids, sizes, payload in zip(*(batch.column(k).to_pylist() for k in (1, 3, 4, 5))):
                 if kind == _BUCKETS:
                     buckets, numbers, found = _unpacked(payload), [], None
                 elif kind == _WORDS:
@@ -189,20 +226,24 @@ def encode_and_decode(
                 else:
                     if found is None:
                         found = by_code(buckets, numbers, pieces)
-                    ids_of, pieces_of = found
-                    codes = _unpacked(payload).tolist()
-                    ids = b"".join(map(ids_of.__getitem__, codes))
-                    decoded = " ".join(map(pieces_of.__getitem__, codes))
-                    row = (
-                        doc_id,
-                        len(ids) // ID_TYPE.itemsize,
-                        hashlib.sha256(ids).hexdigest(),
-                        hashlib.sha256(decoded.encode()).hexdigest(),
-                    )
-                    rows.append((*row, ids, decoded) if with_values else row)
+                    codes, at = _unpacked_numbers(payload, sum(sizes)).tolist(), 0
+                    for doc_id, size in zip(doc_ids, sizes):
+                        rows.append(document(doc_id, codes[at : at + size], *found))
+                        at += size
             if rows:
                 yield record_batch(arrow, zip(*rows))
 
+    def document(doc_id: object, codes: list[int], ids_of: list, pieces_of: list) -> tuple:
+        ids = b"".join(map(ids_of.__getitem__, codes))
+        decoded = " ".join(map(pieces_of.__getitem__, codes))
+        row = (
+            doc_id,
+            len(ids) // ID_TYPE.itemsize,
+            hashlib.sha256(ids).hexdigest(),
+            hashlib.sha256(decoded.encode()).hexdigest(),
+        )
+        return (*row, ids, decoded) if with_values else row
+
     def by_code(buckets: np.ndarray, pages: list[np.ndarray], pieces: list[str]) -> tuple[list, list]:
         """The ids and the pieces of each word of a block, by the word's number."""
         order = np.argsort(buckets, kind="stable").tolist()
