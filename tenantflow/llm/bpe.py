@@ -235,7 +235,7 @@ def encode_and_decode(
 
     def document(doc_id: object, codes: list[int], ids_of: list, pieces_of: list) -> tuple:
         ids = b"".join(map(ids_of.__getitem__, codes))
-        decoded = " ".join(map(pieces_of.__getitem__, codes))
+        decoded = " ".join(filter(None, map(pieces_of.__getitem__, codes)))  # a word may have no ids
         row = (
             doc_id,
             len(ids) // ID_TYPE.itemsize,
