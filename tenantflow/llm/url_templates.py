@@ -142,7 +142,7 @@ def judge_urls(
             F.count("ruled").alias("labelled"),
             F.count(F.when(F.col("ruled") == "block", 1)).alias("blocked"),
         )
-        .withColumn("segments", F.split(F.ltrim(F.lit("/"), F.col("shape")), "/"))
+        .withColumn("segments", F.split(F.ltrim(F.col("shape"), F.lit("/")), "/"))
     )
     shapes = staged(shapes, "url-shapes")
     total = shapes.agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")).first()
