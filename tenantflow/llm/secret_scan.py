@@ -1,7 +1,7 @@
 """Secrets in texts, with a random forest that removes false positives.
 
-Candidates are runs of at least 16 letters, digits, ``_ - + /`` that hold a letter and a
-digit. Each has features: its length, shares and transitions of kinds of characters,
+Candidates are runs of at least 12 letters, digits, ``_ - + / . @`` that hold a digit, so
+addresses, numbers and file names are among them. Each has features: its length, shares and transitions of kinds of characters,
 entropy, how much of it dictionary words cover, words of its path, and the words next to
 it. The forest learns from labelled findings and gives every candidate the probability of
 being a secret.
@@ -29,7 +29,10 @@ from pyspark.sql import functions as F
 from tenantflow.llm.inputs import text_hash
 from tenantflow.session import staged
 
-CANDIDATE = r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*[0-9])(?=[0-9_+/-]*[A-Za-z])[A-Za-z0-9_+/-]{16,}+"
+#: Java syntax; the end is no full stop.
+CANDIDATE = (
+    r"(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/.@-]*[0-9])[A-Za-z0-9_+/.@-]{12,}(?<!\.)"
+)
 
 #: Names of credentials, words of made-up values, words of identifiers.
 CREDENTIAL_NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "key", "auth")
@@ -109,6 +112,7 @@ def _features() -> dict[str, Column]:
         "f_upper": share("[A-Z]"),
         "f_lower": share("[a-z]"),
         "f_marks": share("[_+/-]"),
+        "f_dots": share("[.@]"),
         "f_hex": share("[0-9a-f]"),
         "f_letter_to_digit": share("[A-Za-z](?=[0-9])"),
         "f_digit_to_letter": share("[0-9](?=[A-Za-z])"),

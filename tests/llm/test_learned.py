@@ -1,0 +1,135 @@
+"""The quality trees and the secret forest on labels that were held out."""
+
+from __future__ import annotations
+
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tenantflow.llm import quality, secret_scan
+
+FOLDER = "/root/testdata/sf0.01"
+LARGER = "/root/testdata/sf0.1"
+
+
+def auc(labels, scores):
+    good = [s for label, s in zip(labels, scores) if label]
+    bad = [s for label, s in zip(labels, scores) if not label]
+    return np.mean([[(g > b) + 0.5 * (g == b) for b in bad] for g in good])
+
+
+def test_quality_of_held_out_documents(spark):
+    docs, labels = (spark.read.parquet(f"{LARGER}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels)
+    rows = quality.score_documents(docs, model).join(labels, "doc_id", "left").collect()
+    assert len(rows) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in rows)
+    held = [r for r in rows if r.held_out and r.quality is not None]
+    assert auc([r.quality for r in held], [r.score for r in held]) > 0.99
+    assert np.mean([r.predicted == r.quality for r in held]) > 0.97
+
+
+def test_the_training_bound_holds_and_the_model_is_stable(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    one = quality.fit_quality(docs.repartition(3), labels.repartition(5), max_rows=100)
+    two = quality.fit_quality(docs, labels, max_rows=100)
+    assert (one.leaves == two.leaves).all() and (one.limits == two.limits).all()
+
+
+def test_labels_lang_source_and_id_do_not_matter(spark):
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit_quality(docs, labels)
+    text = docs.where("length(text) > 200").first().text
+    frame = spark.createDataFrame([(1, text, "a"), (5, text, "b"), (None, text, None)], "doc_id long, text string, lang string")
+    assert len({r.score for r in quality.score_documents(frame, model).collect()}) == 1
+
+
+def test_quality_of_awkward_rows(spark, awkward, no_documents):
+    labels = spark.createDataFrame(
+        [(1, 1), (4, 0), (6, 1), (6, 1), (7, None), (13, 0), (99, 1), (None, 0)], "doc_id long, quality int"
+    )
+    model = quality.fit_quality(awkward, labels)
+    rows = quality.score_documents(awkward, model).collect()
+    assert len(rows) == 16 and all(0 <= r.score <= 1 for r in rows)
+    assert quality.good_documents(awkward, model, threshold=0.0).count() == 16
+    assert quality.good_documents(awkward, model, threshold=2.0).count() == 0
+    assert quality.good_documents(awkward, model).columns == awkward.columns
+    assert quality.score_documents(no_documents, model).collect() == []
+    nothing = quality.fit_quality(no_documents, labels.limit(0))
+    assert {round(r.score, 6) for r in quality.score_documents(awkward, nothing).collect()} == {0.5}
+    one_class = quality.fit_quality(awkward, labels.where("quality = 1"))
+    assert len({r.score for r in quality.score_documents(awkward, one_class).collect()}) == 1
+
+
+def test_trees_equal_a_plain_walk():
+    rng = np.random.default_rng(0)
+    values = rng.normal(size=(400, 5))
+    labels = (values[:, 0] * values[:, 1] > 0).astype(float)
+    model = quality.fit_trees(values, labels, n_trees=30)
+    for row, score in zip(values[:50], model.score(values[:50])):
+        total = model.base
+        for columns, limits, leaves in zip(model.columns, model.limits, model.leaves):
+            node = 0
+            while node < len(columns):
+                node = 2 * node + 1 + int(row[columns[node]] > limits[node])
+            total += leaves[node - len(columns)]
+        assert score == pytest.approx(1 / (1 + np.exp(-total)))
+    assert np.mean((model.score(values) > 0.5) == labels) > 0.95
+
+
+PLANTED = re.compile(r"AKIA[0-9A-Z]{16}|(?<=password=)[0-9a-f]{18}|(?<=token = \")[0-9a-f]{40}")
+PATTERN = re.compile(secret_scan.CANDIDATE)
+
+
+def test_candidates_are_the_matches_of_the_pattern(spark, awkward):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").unionByName(awkward.select("doc_id", "text"), allowMissingColumns=True)
+    rows = secret_scan.find_candidates(docs).collect()
+    found = sorted((str(r.doc_id), r.start, r.length, r.value) for r in rows)
+    assert found == sorted(
+        (str(r.doc_id), m.start(), len(m[0]), m[0]) for r in docs.collect() for m in PATTERN.finditer(r.text or "")
+    )
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in rows[:200]:
+        assert texts[r.doc_id][: r.start].endswith(r.before) and texts[r.doc_id][r.start + r.length :].startswith(r.after)
+
+
+def test_the_forest_finds_secrets_in_documents_it_has_not_seen(spark):
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet")
+    candidates = secret_scan.find_candidates(docs).cache()
+    labelled = secret_scan.label_findings(candidates)
+    seen = F.pmod("doc_id", F.lit(2)) == 0
+    model = secret_scan.fit_forest(labelled.where(seen))
+    assert model.forest is not None
+    rows = secret_scan.score_candidates(candidates.where(~seen), model).collect()
+    texts = {r.doc_id: r.text for r in docs.where(~seen).collect()}
+    right = [r.is_secret == bool(PLANTED.fullmatch(texts[r.doc_id], r.start, r.start + r.length)) for r in rows]
+    assert sum(not r.is_secret for r in rows) > 10 and sum(r.is_secret for r in rows) > 10
+    assert np.mean(right) > 0.97
+
+
+def test_secrets_of_awkward_and_no_rows(spark, awkward, no_documents):
+    candidates = secret_scan.find_candidates(awkward)
+    assert candidates.count() == 0
+    model = secret_scan.fit_forest(secret_scan.label_findings(candidates))
+    assert model == secret_scan.SecretModel(None, 0.5)
+    assert secret_scan.score_candidates(candidates, model).collect() == []
+    assert secret_scan.find_candidates(no_documents).collect() == []
+    texts = [(k, "password=1f2e3d4c5b6a798012 " * 2, None) for k in (1, 1, None)] + [(9, None, "x")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string")
+    candidates = secret_scan.find_candidates(docs)
+    model = secret_scan.fit_forest(secret_scan.label_findings(candidates))
+    scored = secret_scan.score_candidates(candidates, model).collect()
+    assert len(scored) == 6 and {r.score for r in scored} == {1.0} and {r.start for r in scored} == {9, 37}
+
+
+def test_no_python_in_the_secret_plan(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    candidates = secret_scan.find_candidates(docs)
+    model = secret_scan.fit_forest(secret_scan.label_findings(candidates))
+    plan = secret_scan.score_candidates(candidates, model)._jdf.queryExecution().toString()
+    assert model.forest is not None
+    assert not re.search("Python|Pandas|Arrow", plan)
