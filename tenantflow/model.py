@@ -80,7 +80,7 @@ class SyncSpec:
 
     ``keys`` are the unique keys of the target and ``order_by`` the columns that
     say which of two batch rows with one key is the later; both are needed for an
-    incremental job only.
+    incremental job only. ``inclusive`` also takes rows that share the marker.
     """
 
     org_code: str
@@ -97,6 +97,7 @@ class SyncSpec:
     task_priority: int = 0
     source_tag: str = "default"
     fetch_size: int = DEFAULT_FETCH_SIZE
+    inclusive: bool = False
 
     def __post_init__(self) -> None:
         if self.mode not in JOB_MODES:

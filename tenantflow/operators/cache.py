@@ -1,61 +1,42 @@
-"""Scoped caching, and dimensions cached for one day."""
+"""Frames cached until a block ends, and dimensions cached for one day."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable, Mapping
+from contextlib import ExitStack
 
 from pyspark.sql import DataFrame
 
 
-class CacheScope:
-    """Frames that are released together."""
+def cached_until(end: ExitStack, df: DataFrame) -> DataFrame:
+    """``df`` cached until ``end`` closes, with whatever else was given to it."""
+    end.callback(df.unpersist)
+    return df.persist()
 
-    def __init__(self) -> None:
-        self._frames: list[DataFrame] = []
 
-    def cache(self, df: DataFrame | None) -> DataFrame | None:
-        if df is not None:
-            self._frames.append(df.persist())
-        return df
+class DimensionsOfDay:
+    """Dimensions of tenants on one day, read when first asked for.
 
-    def clear(self) -> None:
-        for df in self._frames:
-            df.unpersist()
-        self._frames.clear()
+    ``readers`` has for each name a function ``(day_key, org_code) -> DataFrame``. Asking
+    for another day releases the frames of the day before.
+    """
 
-
-@contextmanager
-def cache_scope() -> Iterator[CacheScope]:
-    scope = CacheScope()
-    try:
-        yield scope
-    finally:
-        scope.clear()
-
-
-class DailyCache:
-    """Named dimensions, fetched once per day and tenant and dropped the next day."""
-
-    def __init__(self) -> None:
-        self._fetchers: dict[str, Callable[[int, str], DataFrame]] = {}
-        self._frames: dict[tuple[str, str], DataFrame] = {}
+    def __init__(self, readers: Mapping[str, Callable[[int, str], DataFrame]]) -> None:
+        self._readers = dict(readers)
         self._day: int | None = None
-
-    def register(self, name: str, fetch: Callable[[int, str], DataFrame]) -> DailyCache:
-        """Add a fetcher ``(day_key, org_code) -> DataFrame``; the first of a name stays."""
-        self._fetchers.setdefault(name, fetch)
-        return self
+        self._of_day = ExitStack()
+        self._frames: dict[tuple[str, str], DataFrame] = {}
 
     def get(self, name: str, org_code: str, day_key: int) -> DataFrame:
+        read = self._readers[name]
         if day_key != self._day:
-            self.clear()
+            self.release()
             self._day = day_key
-        if (name, org_code) not in self._frames:
-            self._frames[name, org_code] = self._fetchers[name](day_key, org_code).persist()
-        return self._frames[name, org_code]
-
-    def clear(self) -> None:
-        for df in self._frames.values():
-            df.unpersist()
-        self._frames.clear()
+        wanted = name, org_code
+        if wanted not in self._frames:
+            self._frames[wanted] = cached_until(self._of_day, read(day_key, org_code))
+        return self._frames[wanted]
+
+    def release(self) -> None:
+        self._of_day.close()
+        self._frames = {}

@@ -13,6 +13,8 @@ from tenantflow.operators.lookups import lookup_join
 #: Rows per event, on average, when a tenant has more than that.
 ROWS_PER_EVENT = 500
 
+_TENANT = "event_tenant"
+
 
 def row_events(changes: DataFrame, title: str) -> DataFrame:
     """One event per changed row, keyed by tenant."""
@@ -33,11 +35,14 @@ def tenant_events(
     number of rows: rows are spread by the hash of ``spread_by``, a unique key.
     Rows are sorted within an event.
     """
-    counts = changes.groupBy("org_code").agg(
+    # Rows without a tenant belong together, so the key is never null.
+    tenant = F.coalesce(F.concat(F.lit("="), "org_code"), F.lit(""))
+    keyed = changes.withColumn(_TENANT, tenant)
+    counts = keyed.groupBy(_TENANT).agg(
         F.ceil(F.count(F.lit(1)) / rows_per_event).alias("parts")
     )
     part = F.pmod(F.xxhash64(*spread_by), F.col("parts"))
-    rows = lookup_join(changes, counts, "org_code", "inner").select(
+    rows = lookup_join(keyed, counts, _TENANT, "inner").select(
         "org_code", part.alias("part"), "parts", F.struct(*changes.columns).alias("row")
     )
     grouped = rows.groupBy("org_code", "part", "parts").agg(

@@ -8,6 +8,7 @@ that holds a large part of all rows.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,17 +18,43 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: A key with more than this share of the rows, and more than this many, is kept out
-#: of the shuffle. At most ``1 / HOT_SHARE`` keys can be that frequent.
+#: A key with more than this share of the rows, and more than this many, is dealt to
+#: several tasks. At most ``1 / HOT_SHARE`` keys can be that frequent.
 HOT_SHARE = 0.01
 HOT_ROWS = 1_000_000
 
+#: Parts to which the rows of a hot key are dealt.
+SALTS = 64
+
+_SALT = "lookup_join_salt"
 _SKETCH_ITEMS = 8192
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DatetimeType, T.AnyTimeType)
 
 
+#: What was measured, for as long as the frame exists.
+_rows_of: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
+_payload_of: WeakKeyDictionary[DataFrame, tuple[int, int]] = WeakKeyDictionary()
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    """Whether values of a type cannot be hashed."""
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, T.MapType | T.VariantType)
+
+
+def _count(df: DataFrame) -> int:
+    if df not in _rows_of:
+        _rows_of[df] = df.count()
+    return _rows_of[df]
+
+
 def payload(df: DataFrame) -> tuple[int, int]:
-    """Rows and data bytes of ``df``, measured in one aggregation."""
+    """Rows and data bytes of ``df``, measured in one aggregation and remembered."""
+    if df in _payload_of:
+        return _payload_of[df]
     fixed = [f.name for f in df.schema if isinstance(f.dataType, _FIXED_WIDTH)]
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     nested = [c for c in df.columns if c not in fixed and c not in text]
@@ -37,7 +64,8 @@ def payload(df: DataFrame) -> tuple[int, int]:
     for length in lengths:
         row_bytes = row_bytes + F.coalesce(length, F.lit(0))
     [(rows, size)] = df.agg(F.count(F.lit(1)), F.sum(row_bytes.cast("long"))).collect()
-    return rows, size or 0
+    _payload_of[df] = rows, size or 0
+    return _payload_of[df]
 
 
 def fits_broadcast(
@@ -50,7 +78,7 @@ def fits_broadcast(
     frame itself is measured, so it never decides in favour alone.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    if sized_by is not None and sized_by.count() > max_rows:
+    if sized_by is not None and _count(sized_by) > max_rows:
         return False
     rows, size = payload(df)
     return rows <= max_rows and size <= BROADCAST_BYTES
@@ -87,9 +115,9 @@ def lookup_join(
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; for the last two
     ``right`` may repeat keys. The result has the columns of ``left`` and then the rest
     of ``right``. A ``right`` of checked size is broadcast and ``left``
-    is not shuffled. Beyond that both sides are shuffled on the key, except the
-    rows of hot keys: those meet a broadcast of the few key rows they need, and
-    stay where they are read.
+    is not shuffled. Beyond that both sides are shuffled on the key, and the rows of
+    hot keys are dealt to ``SALTS`` parts by a hash of the whole row; the key rows they
+    need are repeated in each part. ``left`` is read once for the join in either case.
 
     ``fits`` is the outcome of an earlier :func:`fits_broadcast` on a frame that bounds
     ``right``, and saves measuring again.
@@ -98,31 +126,28 @@ def lookup_join(
     and derived from a frame with much the same keys.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    for key in keys:
+        if left.schema[key].dataType != right.schema[key].dataType:
+            raise TypeError(f"{key} has different types on the two sides of the join")
     semi = how in ("left_semi", "left_anti")
     if semi:
         right = right.select(*keys)
     columns = [*left.columns, *[c for c in right.columns if c not in keys]]
 
-    def joined(some: DataFrame, others: DataFrame) -> DataFrame:
-        return some.join(others, keys, how).select(*columns)
-
     if fits is None:
         fits = fits_broadcast(right, sized_by, max_broadcast_rows)
     if fits:
-        return joined(left, F.broadcast(right))
+        return left.join(F.broadcast(right), keys, how).select(*columns)
 
     if semi:
         right = right.distinct()
-    for key in keys:
-        if left.schema[key].dataType != right.schema[key].dataType:
-            raise TypeError(f"{key} has different types on the two sides of the join")
     hot = hot_key_hashes(left if keys_from is None else keys_from, keys)
     if not hot:
-        return joined(left, right)
+        return left.join(right, keys, how).select(*columns)
     is_hot = F.xxhash64(*keys).isin(hot)
-    hot_right = right.filter(is_hot)
-    if hot_right.count() > len(hot):
-        # More rows than keys: not a lookup, so leave the split to adaptive execution.
-        return joined(left, right)
-    cold = joined(left.filter(~is_hot), right)
-    return cold.unionByName(joined(left.filter(is_hot), F.broadcast(hot_right)))
+    hashable = [f.name for f in left.schema if not _holds_map(f.dataType)]
+    spread = F.when(is_hot, F.pmod(F.xxhash64(*hashable), F.lit(SALTS))).otherwise(0)
+    every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    salted = left.withColumn(_SALT, spread.cast("int"))
+    met = right.withColumn(_SALT, F.explode(every))
+    return salted.join(met, [*keys, _SALT], how).select(*columns)

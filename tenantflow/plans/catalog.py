@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenantflow.functions import dates, messages, text
-from tenantflow.model import IncrementSpec, TenantRef
+from tenantflow.model import IncrementSpec, SyncSpec, TenantRef
 from tenantflow.operators import events, incremental, jobs, reconcile
 from tenantflow.operators.binding import bind, union_statements
 from tenantflow.operators.upsert import latest_per_key, upsert
 from tenantflow.plans import extracts, facts
 from tenantflow.plans.retail_model import RetailModel
+from tenantflow.plans.runner import FileTables, run_job
 from tenantflow.session import new_location
 from tenantflow.sinks import tables
 from tenantflow.sources.tenants import query_tenant, scan_tenants
-from tenantflow.streaming.refresh import rows_of
+from tenantflow.streaming.refresh import FACT_PARTITIONS, refresh_batch, rows_of, tenant_names
 
 AS_OF = dt.date(1998, 7, 1)
-WEEK_BEFORE = AS_OF - dt.timedelta(days=7)
 NEXT_DAY = AS_OF + dt.timedelta(days=1)
 NOON = dt.datetime(1998, 7, 1, 12)
 PRODUCTS_AS_OF = dt.datetime(2001, 8, 1)
@@ -61,19 +61,24 @@ def instant(value: str):
 
 @query
 def billing_trailing7(m: RetailModel) -> DataFrame:
-    payments = m.order_payments(WEEK_BEFORE, AS_OF)
+    payments = m.order_payments()
     return extracts.billing_trailing7({"order_history_logs": payments}, AS_OF)
 
 
 @query
 def sales_today(m: RetailModel) -> DataFrame:
-    return extracts.sales_today({"order_history_logs": m.payments(AS_OF, NEXT_DAY)}, AS_OF)
+    return extracts.sales_today({"order_history_logs": m.payments()}, AS_OF)
+
+
+@query
+def sales_today_of_tenant(m: RetailModel) -> DataFrame:
+    return extracts.sales_today({"order_history_logs": m.payments()}, AS_OF, "ASIA")
 
 
 @query
 def sales_item_extract(m: RetailModel) -> DataFrame:
     sources = {
-        "order_history_logs": m.headers(WEEK_BEFORE, AS_OF),
+        "order_history_logs": m.headers(),
         "order_order_item_logs": m.items(),
     }
     return extracts.sales_item_extract(sources, AS_OF)
@@ -82,7 +87,7 @@ def sales_item_extract(m: RetailModel) -> DataFrame:
 @query
 def sales_item_today(m: RetailModel) -> DataFrame:
     sources = {
-        "order_history_logs": m.headers(AS_OF, NEXT_DAY),
+        "order_history_logs": m.headers(),
         "order_order_item_logs": m.items(),
     }
     return extracts.sales_item_today(sources, AS_OF)
@@ -354,6 +359,33 @@ def new_rows(m: RetailModel) -> DataFrame:
     return reconcile.new_rows(m.jobs(), known, "id")
 
 
+@query
+def upsert_partitioned(m: RetailModel) -> DataFrame:
+    """Customers in partitions named by number-like codes, replaced by key three times."""
+    target = FileTables(m.spark, new_location(m.spark, "customers"))
+
+    def load(version: int, increment: IncrementSpec | None) -> DataFrame:
+        columns = ("org_code", "c_custkey", "balance", "version")
+        batch = m.raw("customer").select(
+            F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("org_code"),
+            "c_custkey",
+            (F.col("c_acctbal") + version).alias("balance"),
+            F.lit(version).alias("version"),
+        )
+        changed = batch.filter(F.col("c_custkey") % (version + 2) == 0) if version else batch
+        spec = SyncSpec(
+            org_code="all", name="customers", target_tables=("customers",),
+            target_columns=columns, increment=increment, keys=("org_code", "c_custkey"),
+            order_by=("version",), partition_by=("org_code",),
+        )
+        return run_job(spec, [changed], target).table
+
+    load(0, None)
+    for version in (1, 2, 3):
+        table = load(version, IncrementSpec("version", "version"))
+    return table
+
+
 @query
 def stale_rows(m: RetailModel) -> DataFrame:
     return reconcile.stale_rows(m.online_jobs(), m.tenants(), m.jobs())
@@ -361,9 +393,8 @@ def stale_rows(m: RetailModel) -> DataFrame:
 
 @query
 def distinct_changed_ids(m: RetailModel) -> DataFrame:
-    """Orders with lines shipped after the first half of the data."""
-    shipped = m.raw("lineitem").filter(F.col("l_shipdate") >= F.lit(AS_OF))
-    return reconcile.distinct_changed_ids(shipped, "l_orderkey")
+    """Orders with lines."""
+    return reconcile.distinct_changed_ids(m.raw("lineitem"), "l_orderkey")
 
 
 @query
@@ -444,7 +475,30 @@ def signal_dedupe(m: RetailModel) -> DataFrame:
 def signal_semi_sales(m: RetailModel) -> DataFrame:
     """The sales of the tenants that signalled on the last day."""
     recent = m.signal_messages().filter(F.col("ts") >= instant(SIGNALS_SINCE))
-    return rows_of(m.customer_sales(), messages.latest_signals(messages.parse_signals(recent)))
+    tenants = messages.latest_signals(messages.parse_signals(recent))
+    return rows_of(m.customer_sales(), tenant_names(tenants))
+
+
+@query
+def refresh_facts(m: RetailModel) -> DataFrame:
+    """Facts after a day of all tenants, another day of one, and a withdrawn tenant-day."""
+    path = new_location(m.spark, "facts")
+    sales = m.staged_sales()
+
+    def signalled(*tenants: str) -> DataFrame:
+        name = F.col("r_name")
+        value = messages.signal_value(name, F.concat(name, F.lit("DW")), F.lit("1998-07-01 00:00:00"))
+        wanted = m.raw("region").filter(name.isin(*tenants)) if tenants else m.raw("region")
+        return wanted.select(value.alias("value"))
+
+    def refresh(batch: DataFrame, rows: DataFrame, day: dt.date) -> None:
+        refresh_batch(batch, lambda: rows, m.guides, m.nodes, path, int(f"{day:%Y%m%d}"))
+
+    refresh(signalled(), sales, AS_OF)
+    refresh(signalled("EUROPE"), sales, NEXT_DAY)
+    refresh(signalled("ASIA"), sales.filter("org_code != 'ASIA'"), AS_OF)
+    schema = facts.fct_orders(sales, m.guides(), m.nodes()).schema
+    return tables.text_partitions(m.spark, path, FACT_PARTITIONS, schema)
 
 
 @query

@@ -152,11 +152,14 @@ def product_extract(tables: Tables, as_of: dt.datetime) -> DataFrame:
 def repeat_rows(df: DataFrame, copies: str) -> DataFrame:
     """Each row as many times as column ``copies`` says, without that column.
 
+    Rows with a null, zero or negative count are left out.
+
     A count is first cut into steps that are spread over all tasks, so that no task
     has to emit all copies of one row.
     """
     last_step = F.floor((F.col(copies) - 1) / _COPIES_PER_STEP)
-    steps = df.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last_step)))
+    wanted = df.filter(F.col(copies) > 0)
+    steps = wanted.withColumn("step", F.explode(F.sequence(F.lit(0).cast("long"), last_step)))
     left = F.col(copies) - F.col("step") * _COPIES_PER_STEP
     in_step = F.array_repeat(F.lit(1), F.least(F.lit(_COPIES_PER_STEP), left).cast("int"))
     spread = steps.repartition(*[c for c in df.columns if c != copies], "step")

@@ -130,6 +130,12 @@ SIGNALS = """
     FROM events WHERE event_type <> 'error'
 """
 
+FACTS = f"""
+        SELECT s.*, g.id AS guider_id, g.name AS guider_name, g.shop_code AS guider_shop_code
+        FROM ({LOADED_SALES}) s
+        LEFT JOIN ({guides()}) g ON g.org_code = s.org_code AND g.user_no = s.sale_guider_code
+    """
+
 ORACLE: dict[str, str] = {
     "billing_trailing7": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_no,
@@ -147,6 +153,15 @@ ORACLE: dict[str, str] = {
         FROM ({SALES}) WHERE dim_date_id = '19980701'
         GROUP BY order_no, dim_date_id, shop_code, member_no, sale_guider_code
     """,
+    "sales_today_of_tenant": f"""
+        SELECT order_no, dim_date_id AS date_id, min(sales_time) AS sales_time, shop_code,
+               member_no AS member_code, member_no,
+               CAST(sum(amount) AS DOUBLE) AS real_amount,
+               CAST(sum(amount) AS DOUBLE) AS due_amount,
+               0 AS discount_amount, sale_guider_code AS guider_code
+        FROM ({SALES}) WHERE dim_date_id = '19980701' AND org_code = 'ASIA'
+        GROUP BY order_no, dim_date_id, shop_code, member_no, sale_guider_code
+    """,
     "sales_item_extract": sold_items(
         "o_orderdate > TIMESTAMP '1998-06-24' AND o_orderdate < TIMESTAMP '1998-07-01'",
         """CAST(o_orderkey AS VARCHAR) AS order_no, CAST(l_linenumber AS BIGINT) AS item_seq,
@@ -213,7 +228,7 @@ ORACLE: dict[str, str] = {
         WITH master AS (
             SELECT *, o_orderdate AS begin_date, o_orderdate + INTERVAL 90 DAY AS end_date,
                    CASE WHEN o_orderkey % 3 = 0 THEN o_orderdate + INTERVAL 30 DAY END AS stop_date,
-                   CASE WHEN o_orderstatus = 'P' THEN 0 ELSE 1 END AS approve_flag,
+                   CASE WHEN o_orderstatus = 'P' THEN 0 WHEN o_orderkey % 7 = 3 THEN 2 ELSE 1 END AS approve_flag,
                    CASE o_custkey % 3 WHEN 0 THEN '1' WHEN 1 THEN '无' ELSE '2' END AS vip_type
             FROM orders
         ), flow AS (
@@ -257,7 +272,7 @@ ORACLE: dict[str, str] = {
     """,
     "plan_status": """
         SELECT CAST(o_orderkey AS VARCHAR) AS plan_no,
-               CASE WHEN o_orderstatus = 'P' THEN '0'
+               CASE WHEN o_orderstatus = 'P' THEN '0' WHEN o_orderkey % 7 = 3 THEN '2'
                     WHEN TIMESTAMP '1998-07-01 12:00:00' > o_orderdate
                          + to_days(CASE WHEN o_orderkey % 3 = 0 THEN 30 ELSE 90 END) THEN '2'
                     WHEN TIMESTAMP '1998-07-01 12:00:00' >= o_orderdate THEN '1'
@@ -286,11 +301,7 @@ ORACLE: dict[str, str] = {
         ) WHERE place = 1
     """,
     "prt_sales_load": LOADED_SALES,
-    "fct_orders_enriched": f"""
-        SELECT s.*, g.id AS guider_id, g.name AS guider_name, g.shop_code AS guider_shop_code
-        FROM ({LOADED_SALES}) s
-        LEFT JOIN ({guides()}) g ON g.org_code = s.org_code AND g.user_no = s.sale_guider_code
-    """,
+    "fct_orders_enriched": FACTS,
     "shop_day_sales": f"""
         SELECT org_code, dim_date_id, shop_code, count(DISTINCT order_no) AS order_count,
                CAST(sum(amount) AS DOUBLE) AS real_amount,
@@ -351,6 +362,16 @@ ORACLE: dict[str, str] = {
         SELECT l_orderkey, l_linestatus, l_extendedprice, NULL, l_shipdate
         FROM batch WHERE place = 1
     """,
+    "upsert_partitioned": """
+        SELECT lpad(CAST(c_nationkey AS VARCHAR), 3, '0') AS org_code, c_custkey,
+               c_acctbal + version AS balance, version
+        FROM (SELECT *, CASE WHEN c_custkey % 5 = 0 THEN 3 WHEN c_custkey % 4 = 0 THEN 2
+                             WHEN c_custkey % 3 = 0 THEN 1 ELSE 0 END AS version FROM customer)
+    """,
+    "refresh_facts": f"""
+        SELECT * FROM ({FACTS}) WHERE (dim_date_id = '19980701' AND org_code <> 'ASIA')
+            OR (dim_date_id = '19980702' AND org_code = 'EUROPE')
+    """,
     "max_marker": f"SELECT {OLD_MARKER} AS max_value",
     "incremental_filter": f"""
         SELECT user_id, event_id, ts, event_type, value FROM events WHERE ts > {OLD_MARKER}
@@ -384,7 +405,7 @@ ORACLE: dict[str, str] = {
     """,
     "stale_rows": STALE,
     "distinct_changed_ids": """
-        SELECT DISTINCT l_orderkey FROM lineitem WHERE l_shipdate >= TIMESTAMP '1998-07-01'
+        SELECT DISTINCT l_orderkey FROM lineitem
     """,
     "semi_changed": f"""
         SELECT * FROM ({JOBS}) WHERE id IN (SELECT retailer_sync_job_id FROM ({STALE}))

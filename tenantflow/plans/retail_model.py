@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tenantflow.functions.dates import day_text
 from tenantflow.functions.messages import signal_value
 from tenantflow.operators.lookups import lookup_join
+from tenantflow.plans.extracts import PLAN_RULES
 
 MONEY = "decimal(18,2)"
 
@@ -22,7 +23,7 @@ MONEY = "decimal(18,2)"
 REGISTRATION_SHIFT = 10_068
 
 # Rule numbers given to plan items in turn; the last is one no extract selects.
-RULES = ("PSI", "PQI", "DDI", "FRI", "DMI", "FMI", "DQI", "OFF")
+RULES = (*PLAN_RULES, "OFF")
 
 
 def days(count: Column) -> Column:
@@ -273,7 +274,7 @@ class RetailModel:
             begin.alias("begin_date"),
             (begin + days(F.lit(90))).alias("end_date"),
             F.when(key % 3 == 0, begin + days(F.lit(30))).alias("stop_date"),
-            F.when(status == "P", 0).otherwise(1).alias("approve_flag"),
+            F.when(status == "P", 0).when(key % 7 == 3, 2).otherwise(1).alias("approve_flag"),
             F.lit("0").alias("multiple_flag"),
             F.when(F.col("o_custkey") % 3 == 0, "1")
             .when(F.col("o_custkey") % 3 == 1, "无")

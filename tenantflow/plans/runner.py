@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import types as T
 
 from tenantflow.model import IncrementSpec, SyncSpec, TenantRef
 from tenantflow.operators.binding import union_statements
@@ -19,16 +20,23 @@ from tenantflow.sources.tenants import SourceRegistry, render_marker
 
 @dataclass(frozen=True)
 class FileTables:
-    """Target tables as Parquet folders under one root."""
+    """Target tables as Parquet folders under one root.
+
+    ``schemas`` declares the columns of tables; a table that is not declared is read with
+    the types of its files and with text for its partition columns.
+    """
 
     spark: SparkSession
     root: str
+    schemas: Mapping[str, T.StructType] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(table))
+    def read(self, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        if table in self.schemas:
+            return self.spark.read.schema(self.schemas[table]).parquet(self.path(table))
+        return tables.text_partitions(self.spark, self.path(table), partition_by)
 
 
 #: Frames to load, or a function that makes them from the marker to start after.
@@ -52,14 +60,14 @@ def run_job(spec: SyncSpec, statements: Statements, target: FileTables) -> SyncR
         return SyncResult(loaded, None, None)
 
     local, remote = spec.increment.local_field, spec.increment.remote_field
-    marker = read_marker(target.read(spec.target_tables[0]), local)
+    marker = read_marker(target.read(spec.target_tables[0], spec.partition_by), local)
     if callable(statements):
         newer = statements(marker)
     else:
-        newer = [newer_than(s, remote, marker) for s in statements]
+        newer = [newer_than(s, remote, marker, spec.inclusive) for s in statements]
     delta = staged(union_statements(newer, spec.target_columns, spec.bind), spec.name)
     for table, path in zip(spec.target_tables, paths, strict=True):
-        current = target.read(table)
+        current = target.read(table, spec.partition_by)
         if spec.partition_by:
             tables.upsert_partitions(
                 current, path, delta, spec.keys, spec.order_by, spec.partition_by
@@ -67,7 +75,7 @@ def run_job(spec: SyncSpec, statements: Statements, target: FileTables) -> SyncR
         else:
             merged = staged(upsert(current, delta, spec.keys, spec.order_by), table)
             tables.full_refresh(merged, path)
-    loaded = target.read(spec.target_tables[0])
+    loaded = target.read(spec.target_tables[0], spec.partition_by)
     notify = spec.increment.notify_change
     return SyncResult(loaded, change_feed(loaded, local, marker) if notify else None, marker)
 
@@ -128,18 +136,19 @@ def source_statements(
     A query with a place for the marker condition gets it there, any other is
     filtered by the marker column of its output.
     """
-    connection = jdbc.connection_options(registry.settings_for(tenant, spec.source_tag))
+    settings = registry.settings_for(tenant, spec.source_tag)
+    connection, dialect = jdbc.connection_options(settings), settings.get("database_type")
 
     def frames(marker: str | None) -> list[DataFrame]:
         made = []
         for query in queries:
             field = spec.increment.remote_field if spec.increment else None
-            text, placed = render_marker(query, field, marker)
+            text, placed = render_marker(query, field, marker, spec.inclusive, dialect)
             options = jdbc.read_options(
                 connection, query=text, fetch_size=spec.fetch_size, session=session
             )
             df = jdbc.read(spark, options)
-            made.append(df if placed or field is None else newer_than(df, field, marker))
+            made.append(df if placed or field is None else newer_than(df, field, marker, spec.inclusive))
         return made
 
     return frames

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +39,48 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     ).parquet(path)
 
 
+def text_partitions(
+    spark: SparkSession, path: str, partition_by: Sequence[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """The Parquet table at ``path``; its partition columns are text, as their folders are.
+
+    Spark would otherwise guess types from the folders' names, and take ``007`` for 7.
+    Other columns have the types of ``schema``, or of the files where it is not given.
+    """
+    found = schema or spark.read.parquet(path).schema
+    kinds = [T.StructField(f.name, T.StringType() if f.name in partition_by else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(kinds)).parquet(path)
+
+
+def replace_scope(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    in_scope: Callable[[DataFrame], DataFrame],
+) -> None:
+    """Replace all partitions in scope by the rows of ``df``, empty ones too.
+
+    ``in_scope`` filters a frame of partition values (text). New partitions are written
+    first; the folders of those that have no rows any more are then removed, which a
+    repeated batch does again without harm.
+    """
+    spark = df.sparkSession
+    rows = staged(df, "scope")
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    before = []
+    if files.exists(root):
+        values = text_partitions(spark, path, partition_by, df.schema).select(*partition_by)
+        before = in_scope(values).distinct().collect()  # folders of the batch's tenants
+    now = {tuple(map(str, r)) for r in rows.select(*partition_by).distinct().collect()} if before else set()
+    replace_partitions(rows, path, partition_by)
+    utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    for gone in before:
+        if tuple(map(str, gone)) not in now:
+            folders = [utils.getPartitionPathString(c, gone[c]) for c in partition_by]
+            files.delete(spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *folders])), True)
+
+
 def upsert_partitions(
     target: DataFrame,
     path: str,

@@ -43,8 +43,12 @@ def identifier(name: str) -> str:
     return name
 
 
-def literal(value: object) -> str:
-    """A value as a SQL literal for a remote database."""
+def literal(value: object, dialect: str | None = None) -> str:
+    """A value as a SQL literal for a remote database.
+
+    MySQL takes a backslash in a text for the start of an escape, others do not; where
+    the ``dialect`` is not known, such texts are refused.
+    """
     if value is None:
         return "NULL"
     if isinstance(value, bool):
@@ -52,28 +56,44 @@ def literal(value: object) -> str:
     if isinstance(value, int | float):
         return str(value)
     if isinstance(value, dt.date | str):
-        return "'" + str(value).replace("'", "''") + "'"
+        text = str(value)
+        if "\\" in text:
+            if dialect is None:
+                raise ValueError("a backslash needs the dialect of the database")
+            text = text.replace("\\", "\\\\") if dialect == "mysql" else text
+        return "'" + text.replace("'", "''") + "'"
     raise TypeError(f"no literal for {type(value).__name__}")
 
 
-def render_remote(template: str, tenant: TenantRef, params: Mapping | None = None) -> str:
+def render_remote(
+    template: str, tenant: TenantRef, params: Mapping | None = None, dialect: str | None = None
+) -> str:
     """SQL text for a remote database.
 
     ``${dw_name}`` is a checked identifier, ``${org_code}`` and all parameters are
     literals.
     """
-    values = {name: literal(value) for name, value in (params or {}).items()}
+    values = {name: literal(value, dialect) for name, value in (params or {}).items()}
     return Template(template).substitute(
-        values, dw_name=identifier(tenant.dw_name), org_code=literal(tenant.org_code)
+        values, dw_name=identifier(tenant.dw_name), org_code=literal(tenant.org_code, dialect)
     )
 
 
-def render_marker(query: str, field: str | None, marker: str | None) -> tuple[str, bool]:
+def render_marker(
+    query: str,
+    field: str | None,
+    marker: str | None,
+    inclusive: bool = False,
+    dialect: str | None = None,
+) -> tuple[str, bool]:
     """The query with the marker condition in its place, and whether it has such a place.
 
     Without a marker every row is wanted.
     """
-    condition = "1=1" if field is None or marker is None else f"{field} > {literal(marker)}"
+    condition = "1=1"
+    if field is not None and marker is not None:
+        column = ".".join(identifier(part) for part in field.split("."))
+        condition = f"{column} {'>=' if inclusive else '>'} {literal(marker, dialect)}"
     text, places = _MARKER_PLACE.subn(lambda _: condition, query)
     return text, places > 0
 

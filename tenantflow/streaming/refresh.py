@@ -2,37 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tenantflow.functions.messages import latest_signals, parse_signals
-from tenantflow.operators.cache import cache_scope
-from tenantflow.operators.lookups import lookup_join
 from tenantflow.plans.facts import fct_orders
-from tenantflow.sinks.tables import replace_partitions
+from tenantflow.sinks.tables import replace_scope
 
 #: Seconds between batches.
 BATCH_INTERVAL = "60 seconds"
 
 FACT_PARTITIONS = ("org_code", "dim_date_id")
 
-#: Tenants that a filter may list.
+#: Tenants that one filter lists.
 LISTED_TENANTS = 500
 
 
-def rows_of(df: DataFrame, tenants: DataFrame) -> DataFrame:
-    """The rows of the tenants in a list.
+def tenant_names(tenants: DataFrame) -> list[str]:
+    """The distinct tenants of a batch of signals, sorted."""
+    return sorted(r.org_code for r in tenants.select("org_code").distinct().collect() if r.org_code is not None)
 
-    A list of few tenants becomes a filter, which selects partitions and reaches
-    remote databases; a longer one is joined.
+
+def rows_of(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The rows of the named tenants.
+
+    The names are literals, so they select partitions and reach remote databases. A long
+    list becomes several filters whose rows are disjoint.
     """
-    named = tenants.select("org_code").distinct().limit(LISTED_TENANTS + 1).collect()
-    if len(named) <= LISTED_TENANTS:
-        return df.filter(F.col("org_code").isin([r.org_code for r in named]))
-    return lookup_join(df, tenants, "org_code", "left_semi")
+    parts = [names[k : k + LISTED_TENANTS] for k in range(0, len(names), LISTED_TENANTS)] or [[]]
+    return reduce(DataFrame.union, [df.filter(F.col("org_code").isin(list(part))) for part in parts])
 
 
 def refresh_batch(
@@ -41,19 +43,25 @@ def refresh_batch(
     guides: Callable[[], DataFrame],
     nodes: Callable[[], DataFrame],
     path: str,
+    day_key: int | None = None,
 ) -> None:
     """Write the facts of the tenants named in one batch; nothing for an empty batch.
 
-    Only the partitions of these tenants' days are replaced, so a batch that fails is
-    replayed from the checkpoint without harm. Errors are not caught here for that
+    With ``day_key`` only that day is computed and replaced, else all days of these
+    tenants. A tenant's day without any sales left is removed. A batch that fails is
+    replayed from the checkpoint without harm; errors are not caught here for that
     reason.
     """
-    with cache_scope() as scope:
-        tenants = scope.cache(latest_signals(parse_signals(messages)))
-        if tenants.isEmpty():
-            return
-        facts = fct_orders(rows_of(sales(), tenants), rows_of(guides(), tenants), nodes())
-        replace_partitions(facts, path, FACT_PARTITIONS)
+    names = tenant_names(latest_signals(parse_signals(messages)))
+    if not names:
+        return
+    facts = fct_orders(rows_of(sales(), names), rows_of(guides(), names), nodes(), day_key)
+
+    def in_scope(existing: DataFrame) -> DataFrame:
+        found = rows_of(existing, names)
+        return found if day_key is None else found.filter(F.col("dim_date_id") == str(day_key))
+
+    replace_scope(facts, path, FACT_PARTITIONS, in_scope)
 
 
 def start_refresh(
@@ -64,11 +72,15 @@ def start_refresh(
     path: str,
     checkpoint: str,
     available_now: bool = False,
+    day_key: Callable[[], int | None] = lambda: None,
 ) -> StreamingQuery:
-    """Start the stream. Tables are given as functions, to be read anew for each batch."""
+    """Start the stream.
+
+    Tables and the day to refresh are given as functions, asked anew for each batch.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        refresh_batch(batch, sales, guides, nodes, path)
+        refresh_batch(batch, sales, guides, nodes, path, day_key())
 
     writer = messages.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
     if available_now:

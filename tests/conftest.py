@@ -33,10 +33,12 @@ def rows():
 
 
 @pytest.fixture
-def shuffled(monkeypatch):
+def shuffled(spark, monkeypatch):
     """Make every lookup join shuffle, and treat each key with 1 % of the rows as hot."""
     from tenantflow.operators import lookups
 
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(lookups, "HOT_ROWS", 0)
-    return lookups
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield lookups
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -144,6 +144,11 @@ def test_members_today(members, rows):
     assert all(r.member_code == r.member_no for r in found.collect())
 
 
+def test_rows_with_no_copies_are_left_out(spark):
+    df = spark.createDataFrame([("a", 0), ("b", None), ("c", 2), ("d", -1)], "k string, n long")
+    assert [r.k for r in extracts.repeat_rows(df, "n").collect()] == ["c", "c"]
+
+
 def test_rows_are_repeated_in_steps(spark, monkeypatch):
     monkeypatch.setattr(extracts, "_COPIES_PER_STEP", 4)
     df = spark.createDataFrame([("a", 1), ("b", 4), ("c", 9), ("d", 8)], "k string, n long")

@@ -29,12 +29,28 @@ def test_hot_keys_do_not_change_the_result(sides, rows, shuffled, how):
     assert rows(turned.select("k", "v", *turned.columns[2:])) == expected
 
 
-def test_hot_rows_are_not_shuffled(sides, shuffled):
+def test_hot_rows_are_dealt_to_parts_and_the_left_side_is_read_once(spark, tmp_path, sides, shuffled):
     left, right = sides
-    shuffled.HOT_SHARE = 0.2
-    plan = lookups.lookup_join(left, right, "k", "left")
-    text = plan._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" in text and "strategy=broadcast" in text
+    left.write.parquet(str(tmp_path / "left"))
+    stored = spark.read.parquet(str(tmp_path / "left"))
+    plan = lookups.lookup_join(stored, right, "k", "left")
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in text and text.count("FileScan") == 1 and "SortMergeJoin" in text
+    salted = plan._jdf.queryExecution().analyzed().toString()
+    assert "lookup_join_salt" in salted
+
+
+def test_keys_of_different_types_are_refused_on_every_path(spark):
+    left = spark.range(3).withColumnRenamed("id", "k")
+    with pytest.raises(TypeError):
+        lookups.lookup_join(left, left.select(F.col("k").cast("int").alias("k")), "k")
+
+
+def test_columns_that_cannot_be_hashed_take_no_part_in_the_salt(spark, sides, rows, shuffled):
+    left, right = sides
+    mapped = left.withColumn("m", F.create_map(F.lit("a"), "v"))
+    found = lookups.lookup_join(mapped, right, "k").drop("m")
+    assert rows(found) == rows(left.join(right, "k"))
 
 
 def test_broadcast_only_when_measured_small(sides, monkeypatch):

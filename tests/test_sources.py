@@ -173,6 +173,18 @@ def test_marker_place():
     assert render_marker(text, "at", None) == ("select * from t where 1=1 and 1=1", True)
     assert render_marker(text, None, "5")[0].count("1=1") == 2
     assert render_marker("select 1", "at", "5") == ("select 1", False)
+    assert render_marker(text, "at", "5", inclusive=True)[0].count("at >= '5'") == 2
+    with pytest.raises(ValueError):
+        render_marker(text, "at; drop table t", "5")
+
+
+def test_backslashes_in_remote_literals():
+    attack = "\\' OR 1=1 -- "
+    with pytest.raises(ValueError):
+        literal(attack)
+    assert literal(attack, "mysql") == "'\\\\'' OR 1=1 -- '"
+    assert literal(attack, "oracle") == "'\\'' OR 1=1 -- '"
+    assert literal("it's") == "'it''s'"
 
 
 @pytest.mark.parametrize(

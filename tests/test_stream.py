@@ -1,14 +1,16 @@
 from __future__ import annotations
 
 import json
+from contextlib import ExitStack
 
 import pytest
 from pyspark.sql import functions as F
 
 from tenantflow.operators import events
-from tenantflow.operators.cache import CacheScope, DailyCache, cache_scope
+from tenantflow.operators.cache import DimensionsOfDay, cached_until
 from tenantflow.plans.extracts import dim_shop, of_tenant
 from tenantflow.plans.facts import fct_orders
+from tenantflow.sinks import tables
 from tenantflow.streaming import refresh, signals
 
 
@@ -92,21 +94,43 @@ def test_changed_sales_replace_the_facts_of_the_day(spark, source):
     assert facts().filter("org_code = 'T1'").count() == 10
 
 
-def test_many_tenants_are_joined(source, spark, rows, monkeypatch):
-    sales = source[3]()
-    tenants = spark.createDataFrame([("T0",), ("T2",), ("T2",), ("T9",)], "org_code string")
-    listed = refresh.rows_of(sales, tenants)
+def test_long_lists_of_tenants_give_the_same_rows(source, rows, monkeypatch):
+    sales, names = source[3](), ["T0", "T2", "T9"]
+    listed = refresh.rows_of(sales, names)
     monkeypatch.setattr(refresh, "LISTED_TENANTS", 1)
-    assert rows(refresh.rows_of(sales, tenants)) == rows(listed)
+    assert rows(refresh.rows_of(sales, names)) == rows(listed)
     assert listed.count() == 20
+    assert refresh.rows_of(sales, []).count() == 0
 
 
-def test_named_tenants_select_partitions(source, spark):
-    tenants = spark.createDataFrame([("T0",)], "org_code string")
-    plan = refresh.rows_of(source[3](), tenants)._jdf.queryExecution().executedPlan().toString()
+def test_names_are_distinct(spark):
+    tenants = spark.createDataFrame([("T2",), ("T0",), ("T2",), (None,)], "org_code string")
+    assert refresh.tenant_names(tenants) == ["T0", "T2"]
+
+
+def test_named_tenants_select_partitions(source):
+    plan = refresh.rows_of(source[3](), ["T0"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(org_code" in plan
 
 
+def test_withdrawn_days_are_removed_and_other_days_stay(spark, tmp_path):
+    path = str(tmp_path / "facts")
+
+    def write(rows, names):
+        df = spark.createDataFrame(rows, "order_no string, org_code string, dim_date_id string")
+        tables.replace_scope(df, path, ("org_code", "dim_date_id"), lambda found: refresh.rows_of(found, names))
+
+    write([("a", "007", "20240101"), ("b", "007", "20240102"), ("c", "x=/y", "20240101")], ["007", "x=/y"])
+    other = next((tmp_path / "facts").glob("org_code=x*/*/part-*"))
+    before = other.stat().st_mtime_ns
+    write([("b2", "007", "20240102")], ["007"])
+    found = tables.text_partitions(spark, path, ("org_code", "dim_date_id"))
+    assert sorted(map(tuple, found.collect())) == [("b2", "007", "20240102"), ("c", "x=/y", "20240101")]
+    assert other.stat().st_mtime_ns == before
+    write([], ["x=/y"])
+    assert [r.order_no for r in spark.read.parquet(path).collect()] == ["b2"]
+
+
 def test_batch_without_signals_writes_nothing(spark, source, tmp_path):
     run, signal, *_ = source
     signal("1.txt", "{broken", "")
@@ -165,6 +189,12 @@ def test_row_events(changes):
     assert last["body"] == {"org_code": "B", "data": [{"id": 100, "org_code": "B", "v": 200}]}
 
 
+def test_events_keep_rows_without_a_tenant(spark):
+    changes = spark.createDataFrame([(None, 1), ("", 2), ("A", 3), (None, 4)], "org_code string, id int")
+    sent = events.tenant_events(changes, "title", ["id"]).collect()
+    assert {(r.key, r.n_rows) for r in sent} == {(None, 2), ("", 1), ("A", 1)}
+
+
 def test_tenant_events_hold_every_row_once(changes):
     sent = events.tenant_events(changes, "title", ["id"], rows_per_event=10).collect()
     of_a = [json.loads(r.value)["body"]["data"] for r in sent if r.key == "A"]
@@ -182,49 +212,44 @@ def test_small_tenants_get_one_event(changes):
 # -- caches ------------------------------------------------------------------------
 
 
-def test_cache_scope_releases_together(spark):
-    with cache_scope() as scope:
-        one = scope.cache(spark.range(3))
-        assert scope.cache(None) is None
-        assert one.is_cached
-    assert not one.is_cached
-    scope = CacheScope()
-    two = scope.cache(spark.range(4))
-    scope.clear()
-    assert not two.is_cached
-
-
-def test_cache_scope_releases_after_an_error(spark):
-    with pytest.raises(RuntimeError), cache_scope() as scope:
-        one = scope.cache(spark.range(5))
+def test_frames_are_released_together_and_after_an_error(spark):
+    with ExitStack() as end:
+        one, two = cached_until(end, spark.range(3)), cached_until(end, spark.range(4))
+        assert one.is_cached and two.is_cached
+    assert not one.is_cached and not two.is_cached
+    with pytest.raises(RuntimeError), ExitStack() as end:
+        three = cached_until(end, spark.range(5))
         raise RuntimeError
-    assert not one.is_cached
+    assert not three.is_cached
 
 
-def test_daily_cache_of_shops(spark, rows):
+def test_dimensions_of_a_day_of_shops(spark, rows):
     shops = spark.createDataFrame(
         [("A", 1, " s ", "n", 1), ("A", 2, "t", "n", 0), ("B", 3, "u", "n", 1)],
         "org_code string, dim_shop_id long, shop_code string, shop_name string, online int",
     )
-    cache = DailyCache().register("shops", lambda day, org: dim_shop(of_tenant(shops, org)))
-    assert rows(cache.get("shops", "A", 20200101)) == [(1, "s", "n")]
-    assert rows(cache.get("shops", "B", 20200101)) == [(3, "u", "n")]
-    cache.clear()
+    dimensions = DimensionsOfDay({"shops": lambda day, org: dim_shop(of_tenant(shops, org))})
+    assert rows(dimensions.get("shops", "A", 20200101)) == [(1, "s", "n")]
+    assert rows(dimensions.get("shops", "B", 20200101)) == [(3, "u", "n")]
+    dimensions.release()
 
 
-def test_daily_cache(spark):
+def test_dimensions_of_a_day(spark):
     calls = []
 
     def shops(day, org):
         calls.append((day, org))
         return spark.range(2)
 
-    cache = DailyCache().register("shops", shops).register("shops", lambda day, org: None)
-    first = cache.get("shops", "A", 20200101)
-    assert cache.get("shops", "A", 20200101) is first
-    cache.get("shops", "B", 20200101)
+    dimensions = DimensionsOfDay({"shops": shops})
+    first = dimensions.get("shops", "A", 20200101)
+    assert dimensions.get("shops", "A", 20200101) is first
+    dimensions.get("shops", "B", 20200101)
     assert first.is_cached
-    second = cache.get("shops", "A", 20200102)
+    second = dimensions.get("shops", "A", 20200102)
     assert calls == [(20200101, "A"), (20200101, "B"), (20200102, "A")]
     assert second is not first and not first.is_cached
-    cache.clear()
+    dimensions.release()
+    assert not second.is_cached
+    with pytest.raises(KeyError):
+        dimensions.get("guides", "A", 20200102)

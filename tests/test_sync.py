@@ -241,3 +241,32 @@ def test_incremental_job(spark, tmp_path, rows, partitioned):
     again = run_job(job, [source], tables)
     assert again.changes.count() == 0
     assert rows(tables.read("t").select(*columns)) == loaded
+
+
+@pytest.mark.parametrize("declared", [False, True])
+def test_partitions_with_number_like_codes_keep_their_rows(spark, tmp_path, rows, declared):
+    schema = "org string, k string, v int, at int"
+    schemas = {"t": spark.createDataFrame([], schema).schema} if declared else {}
+    tables = FileTables(spark, str(tmp_path), schemas)
+    old = spark.createDataFrame([("007", "a", 1, 1), ("007", "b", 2, 1), ("20240101", "a", 3, 1)], schema)
+    columns = ("org", "k", "v", "at")
+    job = {"target_columns": columns, "partition_by": ("org",)}
+    run_job(spec(**job), [old], tables)
+    for at in (2, 3):
+        new = spark.createDataFrame([("007", "b", at, at)], schema)
+        job = {**job, "increment": IncrementSpec("at", "at"), "keys": ("org", "k"), "order_by": ("at",)}
+        run_job(spec(**job), [new], tables)
+    found = tables.read("t", ("org",)).select(*columns)
+    assert rows(found) == [("007", "a", 1, 1), ("007", "b", 3, 3), ("20240101", "a", 3, 1)]
+    assert sorted(p.name for p in (tmp_path / "t").glob("org=*")) == ["org=007", "org=20240101"]
+
+
+def test_inclusive_jobs_take_rows_with_the_same_marker(spark, tmp_path, rows):
+    tables = FileTables(spark, str(tmp_path))
+    frame = spark.createDataFrame([("a", 5), ("b", 5)], "k string, at int")
+    run_job(spec(target_columns=("k", "at")), [frame.limit(1)], tables)
+    job = {"target_columns": ("k", "at"), "increment": IncrementSpec("at", "at"), "keys": ("k",), "order_by": ("at",)}
+    run_job(spec(**job), [frame], tables)
+    assert tables.read("t").count() == 1
+    run_job(spec(**job, inclusive=True), [frame], tables)
+    assert rows(tables.read("t")) == [("a", 5), ("b", 5)]
