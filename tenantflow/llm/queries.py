@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import shutil
-import tempfile
 from collections.abc import Callable
 from functools import wraps
+from io import BytesIO
 from pathlib import Path
+from zipfile import ZipFile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,14 +38,25 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Give the workers of a session this package, once, wherever the driver was started."""
+    """Give the workers of a session this package, once, wherever the driver was started.
+
+    It goes through the shared folder as a zip file.
+    """
     context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        package = Path(__file__).resolve().parent.parent
-        target = Path(tempfile.mkdtemp()) / package.name
-        archive = shutil.make_archive(str(target), "zip", root_dir=package.parent, base_dir=package.name)
-        context.addPyFile(archive)
-        _shipped.add(context.applicationId)
+    if context.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    content = BytesIO()
+    with ZipFile(content, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent).as_posix())
+    path = f"{new_location(spark, 'package')}/{package.name}.zip"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(target)
+    stream.write(content.getvalue())
+    stream.close()
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
 
 
 def _shipping(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
