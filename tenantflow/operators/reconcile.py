@@ -200,3 +200,67 @@ def changed_configs(desired: DataFrame, tenants: DataFrame) -> DataFrame:
     return joined.filter(differs & ~F.col("config_self_managed")).select(
         "org_code", "database_config"
     )
+
+
+def configs_after(desired: DataFrame, tenants: DataFrame, as_of: Column) -> DataFrame:
+    """``tenants`` with the changed settings, their database type and the time of the change."""
+    changed = changed_configs(desired, tenants).select(
+        "org_code", F.col("database_config").alias("new_config")
+    )
+    joined = lookup_join(tenants, changed, "org_code", "left", sized_by=desired)
+    new_config = F.col("new_config")
+    taken = new_config.isNotNull()
+    updates = {
+        "database_config": F.when(taken, new_config).otherwise(F.col("database_config")),
+        "database_type": F.coalesce(new_config["database_type"], F.col("database_type")),
+        "updated_at": F.when(taken, as_of).otherwise(F.col("updated_at")),
+    }
+    return joined.withColumns(updates).select(*tenants.columns)
+
+
+def online_rows(jobs: DataFrame, tenants: DataFrame) -> DataFrame:
+    """The online row of every job whose tenant exists.
+
+    The stamps of job and tenant are copied, so that a row made from the present versions
+    is not stale.
+    """
+    stamps = tenants.select("org_code", F.col("updated_at").alias("retailer_updated_at"))
+    return lookup_join(jobs, stamps, "org_code", "inner", sized_by=tenants).select(
+        F.col("id").alias("retailer_sync_job_id"),
+        "org_code",
+        F.col("name").alias("job_name"),
+        "mode",
+        "task_priority",
+        "retailer_updated_at",
+        F.col("updated_at").alias("job_updated_at"),
+    )
+
+
+def online_jobs_after(
+    online: DataFrame, actions: DataFrame, jobs: DataFrame, tenants: DataFrame
+) -> DataFrame:
+    """``online`` after the actions of :func:`reconcile_actions`.
+
+    Columns that :func:`online_rows` does not make are null in the rows it writes.
+    """
+    wanted = actions.filter(F.col("table_name") == "online_sync_jobs").select(
+        F.col("job_id").alias("retailer_sync_job_id"), "action"
+    )
+    rows = online_rows(jobs, tenants)
+    rows = rows.select(*[c for c in rows.columns if c in online.columns])
+    return apply_actions(online, wanted, rows, ["retailer_sync_job_id"])
+
+
+def scripts_after(scripts: DataFrame, online: DataFrame, tenants: DataFrame) -> DataFrame:
+    """``online`` with the changed scripts of the tenants whose database was migrated.
+
+    A script that is online keeps its id; a new one has none yet. Scripts are data here:
+    none is run.
+    """
+    keys = ["org_code", "file_name"]
+    migrated = tenants.filter("database_migrated").select("org_code")
+    allowed = lookup_join(scripts, migrated, "org_code", "left_semi", sized_by=tenants)
+    changed = hash_diff(allowed, online).drop("id")
+    ids = online.groupBy(*keys).agg(F.max("id").alias("id"))
+    rows = lookup_join(changed, ids, keys, "left", sized_by=online).select(*online.columns)
+    return upsert(online, rows, keys, order_by=["sql_sha1"])

@@ -17,7 +17,7 @@ from tenantflow.operators.upsert import latest_per_key, upsert
 from tenantflow.plans import extracts, facts
 from tenantflow.plans.retail_model import RetailModel
 from tenantflow.plans.runner import FileTables, run_job
-from tenantflow.session import new_location
+from tenantflow.session import new_location, staged
 from tenantflow.sinks import tables
 from tenantflow.sources.tenants import query_tenant, scan_tenants
 from tenantflow.streaming.refresh import FACT_PARTITIONS, refresh_batch, rows_of, tenant_names
@@ -226,11 +226,10 @@ def bind_positional(m: RetailModel) -> DataFrame:
 @query
 def full_refresh(m: RetailModel) -> DataFrame:
     """Yesterday's load is replaced by today's."""
-    path = new_location(m.spark, "tmp_product")
-    first = m.product_info().select("product_code", "product_name")
-    tables.full_refresh(first, path)
-    tables.full_refresh(m.product_info().select("product_code", "sales_price"), path)
-    return m.spark.read.parquet(path)
+    target = FileTables(m.spark, new_location(m.spark, "warehouse"))
+    target.replace(m.product_info().select("product_code", "product_name"), "tmp_product")
+    target.replace(m.product_info().select("product_code", "sales_price"), "tmp_product")
+    return target.read("tmp_product")
 
 
 @query
@@ -443,6 +442,44 @@ def reconcile_actions(m: RetailModel) -> DataFrame:
     return reconcile.reconcile_actions(m.online_jobs(), m.jobs(), m.tenants())
 
 
+def online_registry(m: RetailModel) -> DataFrame:
+    """Online jobs with the columns that a rewritten row gets anew."""
+    old = {"job_name": F.lit("old"), "mode": F.lit("old"), "task_priority": F.lit(-1)}
+    return m.online_jobs().withColumns(old)
+
+
+@query
+def reconciled_jobs(m: RetailModel) -> DataFrame:
+    """The online jobs after the actions on them."""
+    online = online_registry(m)
+    actions = staged(reconcile.reconcile_actions(online, m.jobs(), m.tenants()), "actions")
+    return reconcile.online_jobs_after(online, actions, m.jobs(), m.tenants())
+
+
+@query
+def config_after(m: RetailModel) -> DataFrame:
+    """All tenants after the change of their settings, which name a database type."""
+    kind = F.create_map(F.lit("database_type"), F.lit("mysql"))
+    config = F.col("database_config")
+    tenants = m.tenants().withColumns(
+        {"database_type": F.lit("sql_server"), "database_config": F.map_concat(config, kind)}
+    )
+    desired = m.desired_configs().withColumn("database_config", F.map_concat(config, kind))
+    after = reconcile.configs_after(desired, tenants, instant("2024-02-01 00:00:00"))
+    return after.select(
+        "org_code", "database_type", "updated_at", config["segment"].alias("segment")
+    )
+
+
+@query
+def scripts_after(m: RetailModel) -> DataFrame:
+    """Online scripts after an update, for the migrated tenants only."""
+    tenants = m.scripts().select("org_code").distinct().withColumn(
+        "database_migrated", F.col("org_code") != "de"
+    )
+    return reconcile.scripts_after(m.scripts(), m.online_scripts(), tenants)
+
+
 @query
 def active_jobs(m: RetailModel) -> DataFrame:
     return jobs.active_jobs(m.jobs(), m.tenants(), "ss")

@@ -475,6 +475,43 @@ ORACLE: dict[str, str] = {
         SELECT 'online_sync_jobs', id, org_code, 'insert', 'new job'
         FROM jobs WHERE alive AND id NOT IN (SELECT retailer_sync_job_id FROM ({ONLINE}))
     """,
+    "reconciled_jobs": f"""
+        WITH rows AS (
+            SELECT j.id AS retailer_sync_job_id, j.org_code, t.updated_at AS retailer_updated_at,
+                   j.updated_at AS job_updated_at, j.name AS job_name, j.mode, j.task_priority
+            FROM ({JOBS}) j JOIN ({TENANTS}) t ON t.org_code = j.org_code
+        )
+        SELECT o.retailer_sync_job_id, o.org_code, o.retailer_updated_at, o.job_updated_at,
+               'old' AS job_name, 'old' AS mode, -1 AS task_priority
+        FROM ({ONLINE}) o JOIN rows ON rows.retailer_sync_job_id = o.retailer_sync_job_id
+        WHERE rows.retailer_updated_at = o.retailer_updated_at
+          AND rows.job_updated_at = o.job_updated_at
+        UNION ALL
+        SELECT * FROM rows WHERE NOT EXISTS (
+            SELECT 1 FROM ({ONLINE}) o WHERE o.retailer_sync_job_id = rows.retailer_sync_job_id
+               AND o.retailer_updated_at = rows.retailer_updated_at
+               AND o.job_updated_at = rows.job_updated_at)
+    """,
+    "config_after": """
+        SELECT c_name AS org_code, CASE WHEN changed THEN 'mysql' ELSE 'sql_server' END AS database_type,
+               CASE WHEN changed THEN TIMESTAMP '2024-02-01'
+                    ELSE TIMESTAMP '2001-01-01' + to_days(CAST(c_custkey % 100 AS INTEGER))
+               END AS updated_at,
+               CASE WHEN changed OR c_custkey % 5 <> 0 THEN c_mktsegment ELSE 'OLD' END AS segment
+        FROM (
+            SELECT *, c_custkey % 5 = 0 AND c_custkey % 4 <> 0 AS changed
+            FROM customer WHERE c_acctbal >= 0
+        )
+    """,
+    "scripts_after": """
+        SELECT CASE WHEN n_chars >= 300 THEN doc_id END AS id, lang AS org_code,
+               CAST(doc_id AS VARCHAR) || '.sql' AS file_name,
+               CASE WHEN lang <> 'de' THEN sha1(text)
+                    WHEN doc_id % 9 = 4 THEN NULL WHEN doc_id % 6 = 1 THEN 'old'
+                    ELSE sha1(text) END AS sql_sha1,
+               n_chars
+        FROM documents WHERE n_chars >= 300 OR lang <> 'de'
+    """,
     "active_jobs": f"""
         SELECT * FROM ({JOBS}) WHERE mode = 'ss'
           AND org_code IN (SELECT org_code FROM ({TENANTS}) WHERE activated)

@@ -3,78 +3,55 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Row, SparkSession
-from pyspark.sql import types as T
 
 from tenantflow.model import IncrementSpec, SyncSpec, TenantRef
 from tenantflow.operators.binding import union_statements
 from tenantflow.operators.incremental import SyncResult, change_feed, newer_than, read_marker
-from tenantflow.operators.upsert import upsert
-from tenantflow.session import staged
-from tenantflow.sinks import tables
+from tenantflow.session import new_location, remove_folder, staged_at
+from tenantflow.sinks.targets import FileTables, JdbcTables, RunStatements
 from tenantflow.sources import jdbc
 from tenantflow.sources.tenants import SourceRegistry, render_marker
 
 
-@dataclass(frozen=True)
-class FileTables:
-    """Target tables as Parquet folders under one root.
-
-    ``schemas`` declares the columns of tables; a table that is not declared is read with
-    the types of its files and with text for its partition columns.
-    """
-
-    spark: SparkSession
-    root: str
-    schemas: Mapping[str, T.StructType] = field(default_factory=dict)
-
-    def path(self, table: str) -> str:
-        return f"{self.root}/{table}"
-
-    def read(self, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
-        if table in self.schemas:
-            return self.spark.read.schema(self.schemas[table]).parquet(self.path(table))
-        return tables.text_partitions(self.spark, self.path(table), partition_by)
-
-
 #: Frames to load, or a function that makes them from the marker to start after.
 Statements = Sequence[DataFrame] | Callable[[str | None], Sequence[DataFrame]]
 
+Target = FileTables | JdbcTables
+
 
-def run_job(spec: SyncSpec, statements: Statements, target: FileTables) -> SyncResult:
+def run_job(spec: SyncSpec, statements: Statements, target: Target) -> SyncResult:
     """Load the statements of a job into its targets and return what changed.
 
     An incremental job replaces rows by key, a clearing job replaces the table, any
     other job adds rows. The rows to load are written once and read back, since a
-    source may answer a second read differently.
+    source may answer a second read differently; the copy is removed at the end.
     """
-    paths = [target.path(table) for table in spec.target_tables]
-    if not spec.increment:
+    copy = new_location(target.spark, spec.name)
+    try:
+        if spec.increment:
+            return _run_incremental(spec, statements, target, copy)
         frames = statements(None) if callable(statements) else statements
-        loaded = staged(union_statements(frames, spec.target_columns, spec.bind), spec.name)
-        load = tables.full_refresh if spec.clear_before_load else tables.append
-        for path in paths:
-            load(loaded, path, spec.partition_by)
-        return SyncResult(loaded, None, None)
+        loaded = staged_at(union_statements(frames, spec.target_columns, spec.bind), copy)
+        load = target.replace if spec.clear_before_load else target.append
+        for table in spec.target_tables:
+            load(loaded, table, spec.partition_by)
+        return SyncResult(target.read(spec.target_tables[0], spec.partition_by), None, None)
+    finally:
+        remove_folder(target.spark, copy)
 
+
+def _run_incremental(spec: SyncSpec, statements: Statements, target: Target, copy: str) -> SyncResult:
     local, remote = spec.increment.local_field, spec.increment.remote_field
     marker = read_marker(target.read(spec.target_tables[0], spec.partition_by), local)
     if callable(statements):
         newer = statements(marker)
     else:
         newer = [newer_than(s, remote, marker, spec.inclusive) for s in statements]
-    delta = staged(union_statements(newer, spec.target_columns, spec.bind), spec.name)
-    for table, path in zip(spec.target_tables, paths, strict=True):
-        current = target.read(table, spec.partition_by)
-        if spec.partition_by:
-            tables.upsert_partitions(
-                current, path, delta, spec.keys, spec.order_by, spec.partition_by
-            )
-        else:
-            merged = staged(upsert(current, delta, spec.keys, spec.order_by), table)
-            tables.full_refresh(merged, path)
+    delta = staged_at(union_statements(newer, spec.target_columns, spec.bind), copy)
+    for table in spec.target_tables:
+        target.upsert(delta, table, spec.keys, spec.order_by, spec.partition_by)
     loaded = target.read(spec.target_tables[0], spec.partition_by)
     notify = spec.increment.notify_change
     return SyncResult(loaded, change_feed(loaded, local, marker) if notify else None, marker)
@@ -152,3 +129,24 @@ def source_statements(
         return made
 
     return frames
+
+
+def reverse_job(
+    spark: SparkSession,
+    spec: SyncSpec,
+    queries: Sequence[str],
+    tenant_database: Mapping,
+    warehouse: Mapping,
+    dw_name: str,
+    run_statements: RunStatements | None = None,
+) -> SyncResult:
+    """Load queries on a tenant's warehouse into the tenant's own database."""
+    if spec.increment:
+        raise ValueError(f"{spec.name}: a job back to the tenant has no marker")
+    source = jdbc.warehouse_options(warehouse, dw_name)
+    frames = [
+        jdbc.read(spark, jdbc.read_options(source, query=q, fetch_size=None)) for q in queries
+    ]
+    kind = "sql_server"  # the one kind of database that jobs run back to
+    connection = jdbc.connection_options({**tenant_database, "database_type": kind})
+    return run_job(spec, frames, JdbcTables(spark, connection, kind, run_statements))

@@ -60,6 +60,16 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage and fixes the rows, so that several consumers of one remote
     read all see the same snapshot, also after executors are lost.
     """
-    path = new_location(df.sparkSession, label)
+    return staged_at(df, new_location(df.sparkSession, label))
+
+
+def staged_at(df: DataFrame, path: str) -> DataFrame:
+    """:func:`staged` at a known path, for a caller that removes it after use."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -5,7 +5,8 @@ Hosts, users and passwords come from the caller; none has a default.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +28,19 @@ DRIVERS = {
 }
 WAREHOUSE_URL_PROPERTIES = {"useUnicode": "true", "characterEncoding": "utf-8"}
 
+_IDENTIFIER = re.compile(r"[A-Za-z0-9_]+")
+
+
+def identifier(name: str) -> str:
+    if not _IDENTIFIER.fullmatch(name):
+        raise ValueError(f"{name!r} is not a plain identifier")
+    return name
+
+
+def table_name(name: str) -> str:
+    """A checked name of a table, perhaps with its database before it."""
+    return ".".join(identifier(part) for part in name.split("."))
+
 
 @dataclass(frozen=True)
 class RangePartitions:
@@ -97,6 +111,19 @@ def read(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
     return spark.read.format("jdbc").options(**options).load()
 
 
+def read_parts(
+    spark: SparkSession, connection: Mapping[str, str], query: str, conditions: Sequence[str]
+) -> DataFrame:
+    """A query as one read whose tasks take the rows of one condition each.
+
+    The conditions must exclude each other and cover all rows.
+    """
+    options = {name: value for name, value in connection.items() if name != "url"}
+    return spark.read.jdbc(
+        connection["url"], f"({query}) tmp", predicates=list(conditions), properties=options
+    )
+
+
 def write_options(
     connection: Mapping[str, str], table: str, batch_size: int | None = None
 ) -> dict[str, str]:
@@ -110,15 +137,3 @@ def write_options(
 def write(df: DataFrame, options: Mapping[str, str], mode: str) -> None:
     """``mode`` is ``overwrite`` for a full refresh or ``append``."""
     df.write.format("jdbc").options(**options).mode(mode).save()
-
-
-def reverse_options(
-    tenant: Mapping, warehouse: Mapping, dw_name: str, query: str, table: str
-) -> tuple[dict[str, str], dict[str, str]]:
-    """Reader and writer options for a sync from the warehouse back to the tenant.
-
-    The tenant's side is SQL Server; no session statement and no fetch size are set.
-    """
-    source = read_options(warehouse_options(warehouse, dw_name), query=query, fetch_size=None)
-    sink = write_options(connection_options({**tenant, "database_type": "sql_server"}), table)
-    return source, sink

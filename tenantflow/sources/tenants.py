@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,12 +14,15 @@ from pyspark.sql import functions as F
 
 from tenantflow.model import TenantRef
 from tenantflow.sources import jdbc
+from tenantflow.sources.jdbc import identifier
+
+#: Tenants of one server whose query is sent as one text, and databases asked at a time.
+TENANTS_PER_QUERY = 64
+CONNECTIONS = 16
 
 #: The tag that stands for the tenant's own warehouse.
 TENANT_TAG = "retailer"
 
-_IDENTIFIER = re.compile(r"[A-Za-z0-9_]+")
-
 # Fixed value: the place of the marker condition in a source query.
 _MARKER_PLACE = re.compile(r"\{\{\s*max_condition_pit\s*\}\}")
 
@@ -37,12 +42,6 @@ class SourceRegistry:
         return settings
 
 
-def identifier(name: str) -> str:
-    if not _IDENTIFIER.fullmatch(name):
-        raise ValueError(f"{name!r} is not a plain identifier")
-    return name
-
-
 def literal(value: object, dialect: str | None = None) -> str:
     """A value as a SQL literal for a remote database.
 
@@ -109,6 +108,14 @@ def query_tenant(
     return spark.sql(template, args={**(params or {}), **bound})
 
 
+def _united(frames: Sequence[DataFrame]) -> DataFrame:
+    """The union of frames, made in pairs to keep the plan flat."""
+    while len(frames) > 1:
+        paired = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2], strict=False)]
+        frames = paired + frames[len(frames) - len(frames) % 2 :]
+    return frames[0]
+
+
 def scan_tenants(
     tenants: Sequence[TenantRef], read: Callable[[TenantRef], DataFrame]
 ) -> DataFrame:
@@ -116,15 +123,11 @@ def scan_tenants(
 
     ``read`` returns one tenant's rows. All scans are tasks of one stage; a large
     tenant is split by what its own scan is split by (files, range partitions), so
-    tenants need not be of one size. Frames are united in pairs to keep the plan flat.
+    tenants need not be of one size.
     """
     if not tenants:
         raise ValueError("no tenants to scan")
-    frames = [read(t).withColumn("org_code", F.lit(t.org_code)) for t in tenants]
-    while len(frames) > 1:
-        paired = [a.unionByName(b) for a, b in zip(frames[::2], frames[1::2], strict=False)]
-        frames = paired + frames[len(frames) - len(frames) % 2 :]
-    return frames[0]
+    return _united([read(t).withColumn("org_code", F.lit(t.org_code)) for t in tenants])
 
 
 def scan_tenant_databases(
@@ -136,13 +139,61 @@ def scan_tenant_databases(
     tag: str | None = None,
     partitions: Callable[[TenantRef], jdbc.RangePartitions | None] = lambda tenant: None,
 ) -> DataFrame:
-    """:func:`scan_tenants` over JDBC, with range partitions for the tenants that need them."""
+    """:func:`scan_tenants` over JDBC, with range partitions for the tenants that need them.
+
+    A query that names its database by ``${dw_name}`` is the same wherever on a server it
+    runs, so the other tenants of a server are read by one query for
+    ``TENANTS_PER_QUERY`` of them, with a task for each. Spark asks for the columns of
+    each query once, of ``CONNECTIONS`` queries at a time.
+    """
+    if not tenants:
+        raise ValueError("no tenants to scan")
+    names_database = "dw_name" in Template(template).get_identifiers()
+    reads: list[Callable[[], DataFrame]] = []
+    by_server: dict[tuple, list[tuple[TenantRef, dict]]] = {}
+    for tenant in tenants:
+        settings = registry.settings_for(tenant, tag)
+        split = partitions(tenant)
+        if names_database and split is None:
+            server = tuple(sorted((k, str(v)) for k, v in settings.items() if k != "database"))
+            by_server.setdefault(server, []).append((tenant, settings))
+        else:
+            reads.append(partial(_read_tenant, spark, settings, tenant, template, params, split))
+    for group in by_server.values():
+        for at in range(0, len(group), TENANTS_PER_QUERY):
+            reads.append(partial(_read_server, spark, group[at : at + TENANTS_PER_QUERY], template, params))
+    with ThreadPoolExecutor(CONNECTIONS) as pool:
+        return _united(list(pool.map(lambda read: read(), reads)))
+
+
+def _read_tenant(
+    spark: SparkSession,
+    settings: Mapping,
+    tenant: TenantRef,
+    template: str,
+    params: Mapping | None,
+    split: jdbc.RangePartitions | None,
+) -> DataFrame:
+    query = render_remote(template, tenant, params, settings.get("database_type"))
+    options = jdbc.read_options(jdbc.connection_options(settings), query=query, partitions=split)
+    return jdbc.read(spark, options).withColumn("org_code", F.lit(tenant.org_code))
 
-    def read(tenant: TenantRef) -> DataFrame:
-        connection = jdbc.connection_options(registry.settings_for(tenant, tag))
-        query = render_remote(template, tenant, params)
-        return jdbc.read(
-            spark, jdbc.read_options(connection, query=query, partitions=partitions(tenant))
-        )
 
-    return scan_tenants(tenants, read)
+def _read_server(
+    spark: SparkSession,
+    group: Sequence[tuple[TenantRef, Mapping]],
+    template: str,
+    params: Mapping | None,
+) -> DataFrame:
+    """The rows of tenants on one server, by a remote union with a number for each tenant."""
+    settings = group[0][1]
+    dialect = settings.get("database_type")
+    texts = [
+        f"SELECT q{k}.*, {k} AS tenant_number FROM ({render_remote(template, t, params, dialect)}) q{k}"
+        for k, (t, _) in enumerate(group)
+    ]
+    conditions = [f"tenant_number = {k}" for k in range(len(group))]
+    connection = jdbc.connection_options(settings)
+    found = jdbc.read_parts(spark, connection, " UNION ALL ".join(texts), conditions)
+    codes = F.array(*[F.lit(t.org_code) for t, _ in group])
+    return found.withColumn("org_code", F.get(codes, F.col("tenant_number").cast("int"))).drop("tenant_number")

@@ -214,3 +214,25 @@ def test_chunks_are_full_but_for_the_last(spark):
     assert dict(sizes.collect()) == {0: 16, 1: 16, 2: 16, 3: 2}
     assert jobs.tenant_chunks(tenants, size=50).select("chunk_id").distinct().count() == 1
     assert jobs.tenant_chunks(tenants.limit(0)).count() == 0
+
+
+def test_a_second_round_finds_nothing_to_do(spark):
+    from tenantflow.plans.catalog import online_registry
+    from tenantflow.plans.retail_model import RetailModel
+
+    m = RetailModel(spark, "/root/testdata/sf0.001")
+    online, jobs, tenants = online_registry(m), m.jobs(), m.tenants()
+    actions = reconcile.reconcile_actions(online, jobs, tenants)
+    assert {r.action for r in actions.select("action").distinct().collect()} == {"delete", "update", "insert"}
+    after = reconcile.online_jobs_after(online, actions, jobs, tenants)
+    left = reconcile.reconcile_actions(after, jobs, tenants)
+    assert left.filter("table_name = 'online_sync_jobs'").isEmpty()
+
+
+def test_scripts_of_tenants_that_were_not_migrated_stay(spark, rows):
+    columns = "id int, org_code string, file_name string, sql_sha1 string"
+    wanted = spark.createDataFrame([(7, "A", "x", "n"), (8, "A", "y", "n"), (9, "B", "x", "n")], columns)
+    online = spark.createDataFrame([(1, "A", "x", "o"), (2, "B", "x", "o"), (3, "A", "z", None)], columns)
+    tenants = spark.createDataFrame([("A", True), ("B", False), ("C", None)], "org_code string, database_migrated boolean")
+    after = reconcile.scripts_after(wanted, online, tenants)
+    assert rows(after) == [(None, "A", "y", "n"), (1, "A", "x", "n"), (2, "B", "x", "o"), (3, "A", "z", None)]

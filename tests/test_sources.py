@@ -84,15 +84,6 @@ def test_writes_keep_the_table_definition():
     }
 
 
-def test_reverse_sync():
-    source, sink = jdbc.reverse_options(CONFIG, CONFIG, "ADW", "select 1", "t")
-    assert source["url"].startswith("jdbc:mysql://h:1/ADW")
-    assert source["query"] == "select 1"
-    assert "fetchsize" not in source and "sessionInitStatement" not in source
-    assert sink["url"].startswith("jdbc:jtds:sqlserver:")
-    assert sink["dbtable"] == "t"
-
-
 def test_tag_chooses_the_database():
     registry = SourceRegistry({"retailer": {"host": "w"}, "guides": {"host": "g", "database": "x"}})
     assert registry.settings_for(A) == {"host": "w", "database": "ADW"}
@@ -149,6 +140,38 @@ def remote(spark, monkeypatch):
     return calls
 
 
+@pytest.fixture
+def remote_parts(spark, monkeypatch):
+    """Collects reads by conditions and answers with one row for each condition."""
+    calls = []
+
+    def read_parts(session, connection, query, conditions):
+        calls.append((connection["url"], query, conditions))
+        made = [(1, k) for k in range(len(conditions))]
+        return spark.createDataFrame(made, "k int, tenant_number int")
+
+    monkeypatch.setattr(jdbc, "read_parts", read_parts)
+    return calls
+
+
+def test_tenants_of_one_server_are_one_read(spark, remote, remote_parts, rows, monkeypatch):
+    registry = SourceRegistry({"retailer": {**CONFIG, "database_type": "mysql"}})
+    many = [TenantRef(f"T{k}", f"T{k}DW") for k in range(5)]
+    found = scan_tenant_databases(spark, registry, many, "select k from ${dw_name}.t")
+    assert rows(found) == [(1, f"T{k}") for k in range(5)]
+    [(url, query, conditions)] = remote_parts
+    assert url == "jdbc:mysql://h:1/T0DW" and not remote
+    assert query.split(" UNION ALL ")[4] == "SELECT q4.*, 4 AS tenant_number FROM (select k from T4DW.t) q4"
+    assert conditions == [f"tenant_number = {k}" for k in range(5)]
+    monkeypatch.setattr("tenantflow.sources.tenants.TENANTS_PER_QUERY", 2)
+    assert scan_tenant_databases(spark, registry, many, "select k from ${dw_name}.t").count() == 5
+    assert [len(c[2]) for c in remote_parts[1:]] == [2, 2, 1]
+    # A query that does not name its database means another one on each connection.
+    found = scan_tenant_databases(spark, registry, many, "select k, at from t")
+    assert {c["url"] for c in remote} == {f"jdbc:mysql://h:1/T{k}DW" for k in range(5)}
+    assert found.select("org_code").distinct().count() == 5
+
+
 def test_tenant_databases(spark, remote, rows):
     registry = SourceRegistry({"retailer": {**CONFIG, "database_type": "mysql"}})
     split = jdbc.RangePartitions("k", 0, 9, 3)
@@ -156,14 +179,15 @@ def test_tenant_databases(spark, remote, rows):
         spark,
         registry,
         [A, B],
-        "select k, at from ${dw_name}.t where day = ${day}",
+        "select k, at from t where org = ${org_code} and day = ${day}",
         {"day": 20200101},
         partitions=lambda tenant: split if tenant == B else None,
     )
     assert rows(found) == [(1, 10, "A"), (1, 10, "B"), (2, 20, "A"), (2, 20, "B")]
+    remote.sort(key=lambda c: c["url"])
     assert [c["url"] for c in remote] == ["jdbc:mysql://h:1/ADW", "jdbc:mysql://h:1/BDW"]
-    assert remote[0]["query"] == "select k, at from ADW.t where day = 20200101"
-    assert remote[1]["dbtable"] == "(select k, at from BDW.t where day = 20200101) tmp"
+    assert remote[0]["query"] == "select k, at from t where org = 'A' and day = 20200101"
+    assert remote[1]["dbtable"] == "(select k, at from t where org = 'B' and day = 20200101) tmp"
     assert remote[1]["numPartitions"] == "3"
 
 
