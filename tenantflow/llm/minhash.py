@@ -9,14 +9,17 @@
    collide within their ``coordinates - matches + 1`` rarest pairs (the prefix): only these
    are posted, and a class with too many values of its own is not posted at all.
 3. Within a posting, collisions are counted on the signatures, so the long postings that
-   the prefix skips are never walked through. A posting of more than ``posting_rows``
-   classes is cut into blocks that meet two by two, so a task holds two blocks at most.
+   the prefix skips are never walked through. A posting of more than ``POSTING_ROWS``
+   classes is cut into blocks, and a task holds two blocks at most.
 4. A parity sketch of the sets bounds their difference from below, without error; pairs
    that it excludes are dropped where they are found.
-5. In a first round a posting proposes one partner for each of its classes; proposals are
-   confirmed on the full sets and give first components. The second round proposes all
-   pairs left between different components. So copies of one text are not compared two
-   by two, and no link between components is left out.
+5. In a first round each block proposes one partner for each of its classes; proposals are
+   confirmed on the full sets and give first components. As every posting is cut into other
+   blocks, large groups of similar texts become one component here, at a cost that grows
+   with their rows and not with their pairs. The second round proposes all pairs left between
+   different components: postings of one component are skipped, and in the others the blocks
+   of the largest component meet only those of the rest. No link between components is
+   left out.
 
 Classes are linked if 100 * intersection >= 75 * union, which is always confirmed on full
 sets. A link of similarity 0.75 is missed if 33 or more of 64 coordinates differ; the
@@ -234,8 +237,8 @@ def _fetch_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return found.dropDuplicates(["node"])  # a row may be repeated
 
 
-def _postings(wanted: DataFrame, sets: DataFrame) -> DataFrame:
-    """A row for each class, posted token and pair of blocks (lo, hi) that it takes part in."""
+def _payload(wanted: DataFrame, sets: DataFrame) -> DataFrame:
+    """What a posting holds of each class, and the coordinates of its prefix as a mask."""
     in_prefix = F.aggregate(
         "prefix",
         F.lit(0).cast("long"),
@@ -243,24 +246,65 @@ def _postings(wanted: DataFrame, sets: DataFrame) -> DataFrame:
             F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftright(x["token"], 32).cast("int"))
         ),
     )
+    own = wanted.select("node", "n_shingles", "signature", "prefix", in_prefix.alias("mask"))
+    return own.join(sets.select("node", "sketch"), "node")
+
+
+_POSTED = ("token", "lo", "hi", "block", "node", "n_shingles", "mask", "signature", "sketch", "label")
+
+
+def _postings_in_blocks(payload: DataFrame) -> DataFrame:
+    """A row for each class and posted token; blocks of a posting do not meet."""
     blocks = F.ceil(F.col("posted.often") / POSTING_ROWS).cast("int")
+    block = F.pmod(F.xxhash64("node", "posted.token"), blocks).cast("int")
+    return (
+        payload.withColumn("posted", F.explode("prefix"))
+        .withColumns({"token": F.col("posted.token"), "block": block, "label": F.lit(None).cast("long")})
+        .withColumns({"lo": F.col("block"), "hi": F.col("block")})
+        .select(*_POSTED)
+    )
+
+
+def _mixed_postings(payload: DataFrame, labels: DataFrame) -> DataFrame:
+    """The postings with more than one label, with a row for each class and pair of blocks.
+
+    The classes of the most frequent label need not meet each other: their blocks meet
+    those of the others only.
+    """
+    label = F.coalesce("root", "node").alias("label")
     posted = (
-        wanted.select("node", "n_shingles", "signature", "prefix", in_prefix.alias("mask"))
-        .join(sets.select("node", "sketch"), "node")
-        .withColumn("posted", F.explode("prefix"))
-        .withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        payload.select("node", F.explode("prefix.token").alias("token"))
+        .join(labels.toDF("node", "root"), "node", "left")
+        .select("node", "token", label)
     )
-    return posted.select(
-        F.col("posted.token").alias("token"),
-        F.least("block", "other").alias("lo"),
-        F.greatest("block", "other").alias("hi"),
-        "block",
-        "node",
-        "n_shingles",
-        "mask",
-        "signature",
-        "sketch",
+    mixed = (
+        posted.groupBy("token", "label")
+        .agg(F.count("*").alias("n"))
+        .groupBy("token")
+        .agg(F.max(F.struct("n", "label")).alias("main"), F.sum("n").alias("n"))
+        .where("main.n < n")
+    )
+    single = F.col("n") <= POSTING_ROWS
+    n_main = F.when(single, 0).otherwise(F.ceil(F.col("main.n") / POSTING_ROWS)).cast("int")
+    n_rest = F.when(single, 1).otherwise(F.ceil((F.col("n") - F.col("main.n")) / POSTING_ROWS)).cast("int")
+    in_main = ~F.col("single") & (F.col("label") == F.col("main_label"))
+    place = F.xxhash64("node", "token")
+    block = F.when(in_main, F.pmod(place, F.col("n_main"))).otherwise(F.col("n_main") + F.pmod(place, F.col("n_rest")))
+    others = F.sequence(
+        F.when(in_main, F.col("n_main")).otherwise(0), F.col("n_main") + F.col("n_rest") - 1
+    )
+    sizes = mixed.select(
+        "token", F.col("main.label").alias("main_label"), single.alias("single"), n_main.alias("n_main"), n_rest.alias("n_rest")
+    )
+    cells = posted.join(sizes, "token").select(
+        "node", "token", "label", block.cast("int").alias("block"), others.alias("others")
+    )
+    return (
+        payload.drop("prefix")
+        .join(cells, "node")
+        .withColumn("other", F.explode("others"))
+        .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
+        .select(*_POSTED)
     )
 
 
@@ -326,13 +370,9 @@ def _compare(rows: list[tuple], best_only: bool) -> Iterator[tuple[int, int]]:
 _PAIR = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
 
-def _propose(postings: DataFrame, labels: DataFrame | None, best_only: bool) -> DataFrame:
+def _propose(postings: DataFrame, best_only: bool) -> DataFrame:
     """Distinct pairs of nodes with different labels that may be linked."""
     arrow = to_arrow_schema(_PAIR)
-    if labels is None:
-        postings = postings.withColumn("label", F.lit(None).cast("long"))
-    else:
-        postings = postings.join(labels.toDF("node", "label"), "node", "left").select(*postings.columns, "label")
 
     def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -394,10 +434,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     prefixes = _prefixes(classes)
     wanted = staged(prefixes.join(classes.drop("class"), "node"), "prefixes")
     sets = staged(_fetch_sets(docs, wanted), "shingle-sets")
-    postings = _postings(wanted, sets)
-    links = staged(_confirm(_propose(postings, None, best_only=True), sets), "links")
+    payload = _payload(wanted, sets)
+    links = staged(_confirm(_propose(_postings_in_blocks(payload), best_only=True), sets), "links")
     labels = connected_components(links)
-    more = staged(_confirm(_propose(postings, labels, best_only=False), sets), "links")
+    more = _propose(_mixed_postings(payload, labels), best_only=False)
+    more = staged(_confirm(more, sets), "links")
     labels = connected_components(links.union(more))
 
     smallest = (

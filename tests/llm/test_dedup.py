@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from itertools import combinations
 
 import brute
 import numpy as np
@@ -93,6 +94,33 @@ def test_near_duplicates_of_copies(spark, copies, monkeypatch, posting_rows):
     check_near(copies, minhash.near_duplicates(docs).collect())
 
 
+def test_nodes_of_different_labels_meet_once(spark, monkeypatch):
+    """Posting 1 has a large component and a few others, 2 one component, 3 is small."""
+    monkeypatch.setattr(minhash, "POSTING_ROWS", 4)
+    roots = {n: 0 for n in range(1, 30)} | {31: 30, 33: 32}
+    tokens = {1: range(40), 2: range(30), 3: [5, 31, 35]}
+    prefix = {n: [(9, t) for t in tokens if n in tokens[t]] for n in range(40)}
+    payload = spark.createDataFrame(
+        [(n, 1, prefix[n], 7, [0], b"") for n in prefix],
+        "node long, n_shingles long, prefix array<struct<often long, token long>>, mask long, "
+        "signature array<int>, sketch binary",
+    )
+    labels = spark.createDataFrame(sorted(roots.items()), "node long, root long")
+    cells, sizes = {}, {}
+    for r in minhash._mixed_postings(payload, labels).collect():
+        assert r.label == roots.get(r.node, r.node)
+        cells.setdefault((r.token, r.lo, r.hi), []).append((r.node, r.block))
+    met = []
+    for (token, lo, hi), members in cells.items():
+        for (x, at_x), (y, at_y) in combinations(sorted(members), 2):
+            if roots.get(x, x) != roots.get(y, y) and (lo == hi or at_x != at_y):
+                met.append((token, x, y))
+    wanted = [(t, x, y) for t in (1, 3) for x, y in combinations(sorted(tokens[t]), 2) if roots.get(x, x) != roots.get(y, y)]
+    assert sorted(met) == sorted(wanted)
+    main = {n for n in tokens[1] if roots.get(n, n) == 0}
+    assert not any({n for n, _ in members} <= main for members in cells.values())
+
+
 def test_near_duplicates_without_broadcast(spark, copies, monkeypatch):
     monkeypatch.setattr(minhash, "BROADCAST_KEYS", -1)
     docs = spark.createDataFrame(copies, "doc_id long, text string")
