@@ -30,6 +30,9 @@ JOINED = [
     "upsert_replace",
     "reconcile_actions",
     "snapshot_diff",
+    "reconciled_jobs",
+    "config_after",
+    "scripts_after",
     "change_event_batches",
 ]
 
