@@ -18,6 +18,10 @@ from tokenizers import Tokenizer
 _LETTERS = "a-zªµºß-öø-ÿ"
 _DIGITS = "0-9²³¹¼-¾"
 _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}]+")
+# A word of a plain text: the library gives it exactly one word end.
+_PLAIN_WORD = re.compile(
+    rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_DIGITS}]|[^\s{_LETTERS}{_DIGITS}A-ZÀ-ÖØ-Þ\u0100-\U0010ffff]+"
+)
 _PIECE_OF_TEXT = re.compile(r"[^\t-\r ]+")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _WORD_END = "</w>"
@@ -63,7 +67,25 @@ class WordTable:
             self._ends[number] = piece.endswith(_WORD_END)
 
     def encode(self, words: list[str]) -> list[bytes]:
-        """The ids of each word. One call of the library encodes all plain words."""
+        """The ids of each word. One call of the library encodes all plain words.
+
+        Any other stretch of text may have no word end or several and is encoded alone.
+        """
+        plain = [word for word in words if _PLAIN_WORD.fullmatch(word)]
+        if len(plain) == len(words):
+            return self._encode_plain(words)
+        others = [word for word in words if not _PLAIN_WORD.fullmatch(word)]
+        ids_of = dict(zip(others, self._encode_alone(others), strict=True))
+        ids_of.update(zip(plain, self._encode_plain(plain), strict=True))
+        return [ids_of[word] for word in words]
+
+    def _encode_alone(self, words: list[str]) -> list[bytes]:
+        return [
+            np.array(encoded.ids, dtype=ID_TYPE).tobytes()
+            for encoded in self.tokenizer.encode_batch(words, add_special_tokens=False)
+        ]
+
+    def _encode_plain(self, words: list[str]) -> list[bytes]:
         if not words:
             return []
         ids = np.array(
@@ -71,11 +93,7 @@ class WordTable:
         )
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
-            # A stretch of text that the library cuts further.
-            return [
-                np.array(encoded.ids, dtype=ID_TYPE).tobytes()
-                for encoded in self.tokenizer.encode_batch(words, add_special_tokens=False)
-            ]
+            return self._encode_alone(words)
         raw, bounds = ids.tobytes(), (ends * ID_TYPE.itemsize).tolist()
         return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
@@ -107,18 +125,19 @@ class TextEncoder:
 
     def _encode_new(self, chunks: set[str], plain: bool) -> dict[str, bytes]:
         """The ids of chunks that are not known, and of the words in them."""
-        if not plain:
-            return dict(zip(chunks, self._table.encode(list(chunks)), strict=True))
         known, found = self._known, {}
         parts = []
         words = set()
         for chunk in chunks:
-            pieces = _WORD.findall(chunk)
-            if len(pieces) > 1:
+            if not plain and not is_plain(chunk):
+                words.add(chunk)
+                continue
+            pieces = _WORD.findall(chunk if plain else chunk.lower())
+            if pieces == [chunk]:
+                words.add(chunk)
+            else:
                 parts.append((chunk, pieces))
                 words.update(pieces)
-            else:
-                words.add(chunk)
         words = [word for word in words if word not in known]
         found.update(zip(words, self._table.encode(words), strict=True))
         for chunk, pieces in parts:

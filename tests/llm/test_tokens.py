@@ -14,7 +14,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tenantflow.llm import bpe, packing, token_store
-from tenantflow.llm.wordcodes import TextEncoder
+from tenantflow.llm.inputs import parallelism
+from tenantflow.llm.wordcodes import TextEncoder, WordTable
 
 
 def raw(ids: list[int]) -> bytes:
@@ -41,6 +42,32 @@ def test_encoder_equals_the_library(encoders, tokenizer, text):
         assert encoder.encode(text) == raw(brute.tokens(tokenizer, text))
 
 
+# One stretch without a word end, and one with two, beside each other.
+STRETCHES = ["東京 foo. \u3000 x", "東京 \xa0 foo. x", "a <|endoftext|> b foo. c", "東京 \u3000 \xa0 it's, y Foo Bar"]
+
+
+@pytest.mark.parametrize("text", STRETCHES)
+def test_stretches_without_a_word_end(tokenizer_path, tokenizer, text):
+    warm = TextEncoder(tokenizer_path)
+    warm.encode("x y foo a b bar and \u3000 <|startoftext|>")
+    for encoder in (TextEncoder(tokenizer_path), warm, TextEncoder(tokenizer_path, max_known=3)):
+        for _ in range(2):
+            assert encoder.encode(text) == raw(brute.tokens(tokenizer, text))
+    words = [*text.split(" "), "<|endoftext|>", "foo."]
+    assert WordTable(tokenizer_path).encode(words) == [raw(brute.tokens(tokenizer, w)) for w in words]
+
+
+def test_word_table_of_stretches_without_a_word_end(spark, tokenizer_path, tokenizer):
+    def bucket(word):
+        return zlib.crc32(word.encode()) % parallelism(spark)
+
+    # Both stretches in one bucket, so that they are encoded together.
+    two = next(w for k in range(10_000) if bucket(w := f"foo{chr(97 + k % 26)}{'b' * (k // 26)}.") == bucket("\u3000"))
+    for text in (*STRETCHES, f"東京 \u3000 x {two}"):
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        check_bpe(docs, bpe.encode_and_decode(docs, tokenizer_path).collect(), tokenizer)
+
+
 def check_packing(docs, rows, tokenizer, window):
     texts, sequences, pieces = expected(docs, tokenizer), defaultdict(list), defaultdict(list)
     for row in rows:
