@@ -1,10 +1,15 @@
 """Secrets in texts, with a random forest that removes false positives.
 
-Candidates are runs of at least 12 letters, digits, ``_ - + / . @`` that hold a digit, so
-addresses, numbers and file names are among them. Each has features: its length, shares and transitions of kinds of characters,
-entropy, how much of it dictionary words cover, words of its path, and the words next to
-it. The forest learns from labelled findings and gives every candidate the probability of
-being a secret.
+Candidates are the values after the names of credentials, of any length and alphabet, and
+runs of at least 12 letters, digits, ``_ - + / . @`` with a digit, or of at least 16 without
+digits but with two distinct letters, so addresses, numbers, file names and long words are
+among them. A shorter run that no name stands before is no candidate. A value stands behind up to six
+blanks, quotes, ``= : >`` on the name's line. In double quotes, single quotes or backticks it
+reaches to the next such quote of the line; else to white space, a double quote or a backtick,
+less closing marks at its end. Each candidate has features: its length, shares and transitions
+of kinds of characters, entropy, how much of it dictionary words cover, words of its path, and
+the words next to it. The forest learns from labelled findings and gives every candidate the
+probability of being a secret.
 
 Only DataFrame functions and the forest of ``pyspark.ml`` are used; no Python runs in
 tasks. ``label_findings`` gives labels where no reviewed findings exist: what stands after
@@ -29,11 +34,6 @@ from pyspark.sql import functions as F
 from tenantflow.llm.inputs import text_hash
 from tenantflow.session import staged
 
-#: Java syntax; the end is no full stop.
-CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/.@-])(?=[A-Za-z_+/.@-]*[0-9])[A-Za-z0-9_+/.@-]{12,}(?<!\.)"
-)
-
 #: Names of credentials, words of made-up values, words of identifiers.
 CREDENTIAL_NAMES = ("password", "passwd", "pwd", "secret", "token", "api_key", "apikey", "access_key", "key", "auth")
 PLACEHOLDERS = ("example", "sample", "test", "dummy", "fake", "xxxx", "your", "changeme", "placeholder", "1234")
@@ -43,6 +43,43 @@ DICTIONARY = (
     "the", "and", "tion", "ing", "der", "die", "und", "ung", "que", "les", "los", "ment", "heit", "keit", "ción",
 )
 
+_SEPARATOR = "[ \\t\"'`=:>]"
+
+
+def _behind_names() -> str:
+    """Looks back at a credential's name and one to six separators; each part has a fixed width."""
+    lengths = sorted({len(name) for name in CREDENTIAL_NAMES})
+    last = "".join(sorted({name[-1] + name[-1].upper() for name in CREDENTIAL_NAMES}))
+    found = []
+    for width in range(1, 7):
+        gap = f"{_SEPARATOR}{{{width}}}"
+        names = (
+            "|".join(
+                "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name)
+                for name in CREDENTIAL_NAMES
+                if len(name) == length
+            )
+            for length in lengths
+        )
+        found.append(f"(?<=[{last}]{gap})(?:" + "|".join(f"(?<=(?:{n}){gap})" for n in names) + ")")
+    return f"(?<={_SEPARATOR})(?!{_SEPARATOR})(?:{'|'.join(found)})"
+
+
+def _quoted(quote: str) -> str:
+    return rf"(?<={quote})(?:[^{quote}\\\r\n]|\\[^\r\n])++(?={quote})"
+
+
+#: Java and Python syntax; the end of a run is no full stop.
+CANDIDATE = (
+    _behind_names()
+    + "(?:"
+    + "|".join(_quoted(quote) for quote in "\"'`")
+    + r"""|[^ \t\n\x0b\f\r"`]*[^ \t\n\x0b\f\r"'`.,;)\]}>])"""
+    + r"|(?<![A-Za-z0-9_+/.@-])"
+    + r"(?:(?=[A-Za-z_+/.@-]*[0-9])[A-Za-z0-9_+/.@-]{12,}"
+    + r"|(?=[_+/.@-]*([A-Za-z])(?:[_+/.@-]|\1)*+[A-Za-z])[A-Za-z_+/.@-]{16,})(?<!\.)"
+)
+
 _CONTEXT = 60
 
 
@@ -71,13 +108,16 @@ def find_candidates(docs: DataFrame, path_column: str | None = "source") -> Data
         .where(F.col("text").rlike(CANDIDATE))
         .select("doc_id", "path", gaps.alias("gaps"), values.alias("values"))
         .withColumn("ends", ends)
-        .select("doc_id", "path", "gaps", "ends", F.posexplode("values").alias("k", "value"))
+        .select("doc_id", "path", "gaps", "values", "ends", F.posexplode("values").alias("k", "value"))
         .select(
             "doc_id",
             (F.get("ends", F.col("k")) + F.length(F.get("gaps", F.col("k")))).cast("long").alias("start"),
             F.length("value").cast("long").alias("length"),
             "value",
-            F.right(F.get("gaps", F.col("k")), F.lit(_CONTEXT)).alias("before"),
+            F.right(
+                F.concat(F.coalesce(F.get("values", F.col("k") - 1), F.lit("")), F.get("gaps", F.col("k"))),
+                F.lit(_CONTEXT),
+            ).alias("before"),
             F.left(F.get("gaps", F.col("k") + 1), F.lit(_CONTEXT)).alias("after"),
             "path",
         )
@@ -113,6 +153,7 @@ def _features() -> dict[str, Column]:
         "f_lower": share("[a-z]"),
         "f_marks": share("[_+/-]"),
         "f_dots": share("[.@]"),
+        "f_other": share("[^A-Za-z0-9_+/.@-]"),
         "f_hex": share("[0-9a-f]"),
         "f_letter_to_digit": share("[A-Za-z](?=[0-9])"),
         "f_digit_to_letter": share("[0-9](?=[A-Za-z])"),
@@ -124,7 +165,7 @@ def _features() -> dict[str, Column]:
         "f_placeholder": F.lower(value).rlike(_any_of(PLACEHOLDERS)).cast("double"),
         "f_path_depth": F.regexp_count("path", F.lit("[/\\\\]")).cast("double"),
         "f_path_test": F.lower("path").rlike("test|example|sample|fixture|mock").cast("double"),
-        "f_named": last_word.isin(*CREDENTIAL_NAMES).cast("double"),
+        "f_named": last_word.rlike(f"({_any_of(CREDENTIAL_NAMES)})$").cast("double"),
         "f_assigned": before.rlike(r"[=:]\s*[\"']?$").cast("double"),
         "f_quoted": (before.rlike("[\"'`]$") & after.rlike("^[\"'`]")).cast("double"),
         "f_in_url": before.rlike(r"://\S*$").cast("double"),
@@ -141,8 +182,17 @@ def with_features(candidates: DataFrame) -> DataFrame:
 
 
 def label_findings(candidates: DataFrame) -> DataFrame:
-    """``candidates`` with ``label``: 1.0 for what is known to be a secret, else 0.0."""
-    named = F.lower("before").rlike(rf"({_any_of(CREDENTIAL_NAMES)})\W{{1,6}}$")
+    """``candidates`` with ``label``: 1.0 for what is known to be a secret, else 0.0.
+
+    Words after a name are known only behind ``=`` or a quote, or from 16 characters on after
+    a colon; other short values only behind ``=``, a colon or a quote.
+    """
+    before, length = F.col("before"), F.length("value")
+    words = F.col("value").rlike(r"^[(\[]?[\p{L}_+/.'’-]+$")
+    strong = before.rlike("(=[\\s>]*|[\"'`])$")
+    assigned = strong | before.rlike(r"[=:][\s>]*$")
+    certain = F.when(words, strong | (assigned & (length >= 16))).otherwise(assigned | (length >= 8))
+    named = F.lower("before").rlike(rf"({_any_of(CREDENTIAL_NAMES)})\W{{1,6}}$") & certain
     key = F.col("value").rlike("^(AKIA|ASIA)[0-9A-Z]{16}$")
     made_up = F.lower("value").rlike(_any_of(PLACEHOLDERS[:-1]))
     return candidates.withColumn("label", ((named | key) & ~made_up).cast("double"))
