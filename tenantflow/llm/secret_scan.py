@@ -201,18 +201,39 @@ def label_findings(candidates: DataFrame) -> DataFrame:
 def fit_forest(
     labelled: DataFrame, max_rows: int = 20_000, trees: int = 40, depth: int = 8, seed: int = 7
 ) -> SecretModel:
-    """Learn from labelled findings, about ``max_rows`` at most, chosen by a hash."""
-    counts = {row.label: row["count"] for row in labelled.groupBy("label").count().collect() if row.label is not None}
-    n = sum(counts.values())
+    """Learn from labelled findings, ``max_rows`` distinct ones at most.
+
+    Each label gives up to half of them, or more where the other has fewer; they are chosen
+    by a hash. A finding weighs as often as it occurs, and for those of its label left out.
+    """
+    key = F.xxhash64("value", "before", "after", "path")
+    labelled = labelled.where("label is not null").withColumn("key", key)
+    counts = {
+        row.label: row.findings
+        for row in labelled.groupBy("label").agg(F.approx_count_distinct("key", 0.01).alias("findings")).collect()
+    }
     if len(counts) < 2:
         return SecretModel(None, next(iter(counts), 0.5))
-    scale = 1 << 20
-    key = F.xxhash64("value", "before", "after")
-    chosen = labelled.where(F.pmod(key, F.lit(scale)) < scale * max_rows // n).where("label is not null")
-    rows = staged(with_features(chosen).select("features", "label"), "secret-findings")
-    if rows.select("label").distinct().count() < 2:
-        return SecretModel(None, counts.get(1.0, 0) / n)
-    forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, maxBins=64)
+    fewer = min(counts.values())
+    drawn = []
+    for label, findings in sorted(counts.items()):
+        quota = max(max_rows // 2, max_rows - fewer if findings > fewer else 0, 1)
+        # A range of hashes that holds more than enough, whatever the number of findings.
+        share = min(1.0, (2 * quota + 100) / findings)
+        in_range = F.col("key") <= int(-(2**63) + share * (2**64 - 2**12)) if share < 1 else F.lit(True)
+        some = (
+            labelled.where((F.col("label") == label) & in_range)
+            .groupBy("key", "value", "before", "after", "path", "label")
+            .count()
+            .orderBy("key", "value", "before", "after", "path")
+            .limit(quota)
+        )
+        drawn.append(some.withColumn("weight", F.col("count") * max(1.0, findings / quota)))
+    chosen = with_features(drawn[0].unionByName(drawn[1]))
+    rows = staged(chosen.select("features", "label", "weight"), "secret-findings")
+    forest = RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, seed=seed, maxBins=64, weightCol="weight"
+    )
     return SecretModel(forest.fit(rows), 0.5)
 
 

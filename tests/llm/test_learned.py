@@ -130,6 +130,18 @@ def test_the_forest_finds_secrets_in_documents_it_has_not_seen(spark):
     assert np.mean(right) > 0.97
 
 
+def test_few_secrets_among_many_findings_are_learned(spark):
+    secrets = [(k, f"password=Zq{zlib.crc32(str(k).encode()):x}kV9") for k in range(4)]
+    others = spark.range(60_000).selectExpr("id + 10 as doc_id", "concat('see www.host', id, '.org/page for it') as text")
+    repeated = spark.range(30_000).selectExpr("id + 100000 as doc_id", "'call 00491701234567 now' as text")
+    docs = spark.createDataFrame(secrets, "doc_id long, text string").unionByName(others).unionByName(repeated)
+    candidates = secret_scan.find_candidates(docs)
+    model = secret_scan.fit_forest(secret_scan.label_findings(candidates), max_rows=200)
+    assert model.forest is not None
+    scored = secret_scan.score_candidates(candidates, model)
+    assert sorted(r.doc_id for r in scored.where("is_secret").collect()) == [0, 1, 2, 3]
+
+
 def test_secrets_of_awkward_and_no_rows(spark, awkward, no_documents):
     candidates = secret_scan.find_candidates(awkward)
     assert candidates.count() == 0
