@@ -16,8 +16,8 @@ Where no rule fits, the template of the path does. For each host the paths form
    share of all pages with the weight of ``smoothing`` pages. From ``threshold`` on the
    template is rejected.
 
-Labels are the verdicts of the rules. Segments beyond ``levels`` keep their shape. Only
-DataFrame functions are used.
+Labels are the verdicts of the rules. The tree is as deep as the paths; ``levels`` is the
+depth of the SQL counterpart only. Only DataFrame functions are used.
 
 Rows: one for each row of ``pages``. A url that is null or has no ``://`` has an empty host
 and path. Repeated rows, urls and ids count as often as they occur. With no labelled page
@@ -122,6 +122,17 @@ def _generalise(shapes: DataFrame, level: int, settings: TreeSettings) -> DataFr
     )
 
 
+def _depth(shapes: DataFrame) -> int:
+    """The number of levels with a node that can have two children: two shapes of a host reach it."""
+    sizes = shapes.groupBy("host", F.size("segments").alias("size")).agg(F.count("*").alias("shapes"))
+    hosts = sizes.groupBy("host").agg(
+        F.max_by("shapes", "size").alias("deepest"),
+        F.sort_array(F.collect_list("size"), asc=False).alias("sizes"),
+    )
+    reached = F.get("sizes", F.when(F.col("deepest") > 1, 0).otherwise(1))
+    return hosts.agg(F.max(reached)).first()[0] or 0
+
+
 def judge_urls(
     pages: DataFrame, rules: Sequence[Rule], settings: TreeSettings = TreeSettings()
 ) -> DataFrame:
@@ -147,7 +158,7 @@ def judge_urls(
     shapes = staged(shapes, "url-shapes")
     total = shapes.agg(F.sum("blocked").alias("blocked"), F.sum("labelled").alias("labelled")).first()
     share = ((total.blocked or 0) + 0.5) / ((total.labelled or 0) + 1)
-    for level in range(settings.levels):
+    for level in range(_depth(shapes)):
         shapes = staged(_generalise(shapes, level, settings), "url-shapes")
     shapes = shapes.select(
         "host", "shape", "labelled", "blocked", F.concat(F.lit("/"), F.concat_ws("/", "segments")).alias("template")

@@ -110,6 +110,17 @@ def test_variable_segments_become_wildcards(spark):
     assert {rows[k].template for k in range(36)} == {"/user/*/about"}
 
 
+def test_deep_paths_are_generalised(spark):
+    names = [chr(97 + a) + chr(97 + b) for a in range(6) for b in range(6)]
+    urls = [f"http://h.net/x/1/b/c/d/e/{n}" for n in names] + [f"http://h.net/x/2/b/c/d/e/{n}q" for n in names[:10]]
+    urls += [f"http://b.net/{n}" for n in names * 4] + ["http://d.net" + "/a" * 300]
+    rules = (url_templates.Rule("block", "h.net", "/x/1"), url_templates.Rule("allow", "b.net", "/"))
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    rows = {r.page_id: r for r in url_templates.judge_urls(pages, rules).collect()}
+    assert {rows[k].template for k in range(46)} == {"/x/#/b/c/d/e/*"}
+    assert {rows[k].verdict for k in range(36, 46)} == {"block"} and len(rows) == len(urls)
+
+
 @pytest.mark.parametrize("name", sorted(LLM_ORACLE))
 def test_queries_equal_their_sql(spark, name):
     assert differences(queries.LLM_QUERIES[name](spark, FOLDER), LLM_ORACLE[name], connect(FOLDER)) is None
