@@ -144,10 +144,49 @@ FROM judged j JOIN shapes{s.levels} x ON j.host = x.host AND j.shape = x.shape
 JOIN templates t ON t.host = x.host AND t.segments = x.segments
 """
 
+_WHOLE = """
+whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0
+)"""
+
+_TOP = f"""
+WITH {_WHOLE}, scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+"""
+
+_NEGATIVES = f"""
+WITH {_WHOLE}, labelled AS (
+  SELECT vec_id, x, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label
+  FROM whole WHERE label IS NOT NULL
+), scored AS (
+  SELECT q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM labelled q JOIN labelled c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+  WHERE q.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 
 LLM_ORACLE: dict[str, str] = {
     "op5_minhash_inverted_join": _NEAR,
     "op7_epsilon_grid_join": _VECTORS,
     "op8_tree_merge_dedup": _EXACT,
     "op10_path_template_tree": _urls(),
+    "op11_shared_list_negatives": _NEGATIVES,
+    "op12_no_random_access": _TOP,
 }

@@ -9,18 +9,22 @@ from pathlib import Path
 from zipfile import ZipFile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tenantflow.llm import (
     bpe,
     embeddings,
     exact_dedup,
+    hard_negatives,
     minhash,
     packing,
     pii,
     quality,
     secret_scan,
     token_store,
+    topk_search,
     url_templates,
+    whitening,
 )
 from tenantflow.llm.inputs import default_tokenizer, read_table
 from tenantflow.session import new_location, staged
@@ -116,6 +120,20 @@ def op10_path_template_tree(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_shared_list_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = read_table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
+def op12_no_random_access(spark: SparkSession, folder: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op13_refined_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: _shipping(query)
     for query in (
@@ -129,5 +147,8 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_tree_merge_dedup,
         op9_anchor_pii,
         op10_path_template_tree,
+        op11_shared_list_negatives,
+        op12_no_random_access,
+        op13_refined_whitening,
     )
 }

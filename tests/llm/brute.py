@@ -135,3 +135,45 @@ def url_rule(host: str, path: str, rules) -> tuple[str | None, str | None]:
     ]
     best = max(fitting, key=lambda r: len(r.text), default=None)
     return (best.text, best.verdict) if best else (None, None)
+
+
+def whole(vector) -> list[int] | None:
+    """floor(256 * c) of a usable vector."""
+    if vector is None or any(c is None or not np.isfinite(c) for c in vector):
+        return None
+    return [int(np.floor(256 * np.float64(np.float32(c)))) for c in vector]
+
+
+def _scored(rows, query):
+    """(score, id, label) of all other rows of the query's length, best first."""
+    vec_id, x = query
+    found = [
+        (sum(a * b for a, b in zip(x, y, strict=True)), other, kind)
+        for other, y, kind in rows
+        if other != vec_id and len(x) == len(y)
+    ]
+    return sorted(found, key=lambda f: (-f[0], f[1]))
+
+
+def top_k(rows: list[tuple], k: int = 5) -> list[tuple]:
+    """(query_id, rank, vec_id, score) from rows (vec_id, vector)."""
+    usable = [(i, whole(v), None) for i, v in rows if i is not None and whole(v) is not None]
+    return sorted(
+        (i, rank, other, score)
+        for i, x, _ in usable if i % 50 == 0
+        for rank, (score, other, _) in enumerate(_scored(usable, (i, x))[:k], 1)
+    )
+
+
+def hard_negatives(rows: list[tuple]) -> list[tuple]:
+    """(anchor, positive, rank, negative, positive score, negative score) from (vec_id, vector, label)."""
+    usable = [(i, whole(v), c) for i, v, c in rows if i is not None and c is not None and whole(v) is not None]
+    found = []
+    for i, x, label in usable:
+        if i % 50:
+            continue
+        scored = _scored(usable, (i, x))
+        for p, positive, _ in [s for s in scored if s[2] == label][:5]:
+            fits = [s for s in scored if s[2] != label and 50 * p <= 100 * s[0] <= 95 * p]
+            found += [(i, positive, rank, n, p, s) for rank, (s, n, _) in enumerate(fits[:3], 1)]
+    return sorted(found)
