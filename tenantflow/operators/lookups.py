@@ -2,18 +2,22 @@
 
 Every join of this engine that shuffles has this form, so the two scale questions
 are answered once, here: may the key side be broadcast, and what happens to a key
-that holds a large part of all rows.
+that holds a large part of all rows. Both questions cost a small job each and are asked only
+where the large side reads enough for the answer to matter; any other join is left to Spark,
+which broadcasts by its own estimate and splits skewed partitions as it runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: A left side that reads no more is shuffled in less time than the questions take.
+SMALL_BYTES = 64 * 1024 * 1024
+
 #: A side is broadcast only when it was measured to be within both limits.
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -31,11 +35,6 @@ _SKETCH_ITEMS = 8192
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DatetimeType, T.AnyTimeType)
 
 
-#: What was measured, for as long as the frame exists.
-_rows_of: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
-_payload_of: WeakKeyDictionary[DataFrame, tuple[int, int]] = WeakKeyDictionary()
-
-
 def _holds_map(kind: T.DataType) -> bool:
     """Whether values of a type cannot be hashed."""
     if isinstance(kind, T.ArrayType):
@@ -45,16 +44,18 @@ def _holds_map(kind: T.DataType) -> bool:
     return isinstance(kind, T.MapType | T.VariantType)
 
 
-def _count(df: DataFrame) -> int:
-    if df not in _rows_of:
-        _rows_of[df] = df.count()
-    return _rows_of[df]
+def reads_little(df: DataFrame) -> bool:
+    """Whether the sources of ``df`` hold at most ``SMALL_BYTES``, by the sizes of their files.
+
+    Sources whose size Spark does not know, such as databases, hold more.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    total = sum(int(str(leaves.apply(k).stats().sizeInBytes())) for k in range(leaves.size()))
+    return total <= SMALL_BYTES
 
 
 def payload(df: DataFrame) -> tuple[int, int]:
-    """Rows and data bytes of ``df``, measured in one aggregation and remembered."""
-    if df in _payload_of:
-        return _payload_of[df]
+    """Rows and data bytes of ``df``, measured in one aggregation."""
     fixed = [f.name for f in df.schema if isinstance(f.dataType, _FIXED_WIDTH)]
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     nested = [c for c in df.columns if c not in fixed and c not in text]
@@ -64,8 +65,7 @@ def payload(df: DataFrame) -> tuple[int, int]:
     for length in lengths:
         row_bytes = row_bytes + F.coalesce(length, F.lit(0))
     [(rows, size)] = df.agg(F.count(F.lit(1)), F.sum(row_bytes.cast("long"))).collect()
-    _payload_of[df] = rows, size or 0
-    return _payload_of[df]
+    return rows, size or 0
 
 
 def fits_broadcast(
@@ -78,7 +78,7 @@ def fits_broadcast(
     frame itself is measured, so it never decides in favour alone.
     """
     max_rows = BROADCAST_ROWS if max_rows is None else max_rows
-    if sized_by is not None and _count(sized_by) > max_rows:
+    if sized_by is not None and sized_by.count() > max_rows:
         return False
     rows, size = payload(df)
     return rows <= max_rows and size <= BROADCAST_BYTES
@@ -114,9 +114,9 @@ def lookup_join(
 
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; for the last two
     ``right`` may repeat keys. The result has the columns of ``left`` and then the rest
-    of ``right``. A ``right`` of checked size is broadcast and ``left``
-    is not shuffled. Beyond that both sides are shuffled on the key, and the rows of
-    hot keys are dealt to ``SALTS`` parts by a hash of the whole row; the key rows they
+    of ``right``. Where ``left`` reads little, Spark plans the join. Else a ``right`` of
+    checked size is broadcast and ``left`` is not shuffled; beyond that both sides are
+    shuffled on the key, and the rows of hot keys are dealt to ``SALTS`` parts by a hash of the whole row; the key rows they
     need are repeated in each part. ``left`` is read once for the join in either case.
 
     ``fits`` is the outcome of an earlier :func:`fits_broadcast` on a frame that bounds
@@ -135,6 +135,8 @@ def lookup_join(
     columns = [*left.columns, *[c for c in right.columns if c not in keys]]
 
     if fits is None:
+        if reads_little(left):
+            return left.join(right, keys, how).select(*columns)
         fits = fits_broadcast(right, sized_by, max_broadcast_rows)
     if fits:
         return left.join(F.broadcast(right), keys, how).select(*columns)

@@ -11,12 +11,13 @@ from pyspark.sql import types as T
 
 from tenantflow.functions import dates, messages, text
 from tenantflow.model import IncrementSpec, SyncSpec, TenantRef
-from tenantflow.operators import events, incremental, jobs, reconcile
+from tenantflow.operators import digests, events, incremental, jobs, reconcile
 from tenantflow.operators.binding import bind, union_statements
 from tenantflow.operators.upsert import latest_per_key, upsert
 from tenantflow.plans import extracts, facts
 from tenantflow.plans.retail_model import RetailModel
 from tenantflow.plans.runner import FileTables, run_job
+from tenantflow.plans.totals import DayTotals
 from tenantflow.session import new_location, staged
 from tenantflow.sinks import tables
 from tenantflow.sources.tenants import query_tenant, scan_tenants
@@ -162,6 +163,34 @@ def guide_day_sales(m: RetailModel) -> DataFrame:
     return facts.guide_day_sales(extracts.prt_sales_load(m.staged_sales()))
 
 
+def refreshed_totals(m: RetailModel, level: str) -> DayTotals:
+    """Totals after a first load, a batch of changed and late orders, and a withdrawal, sent twice.
+
+    Every seventh order had other amounts at first, every fifth comes late, every eleventh
+    is withdrawn.
+    """
+    sales = staged(extracts.prt_sales_load(m.staged_sales()), "sales")
+    number = F.col("order_no").cast("long")
+    older = sales.withColumns({a: (F.col(a) * 2 + 1).cast(sales.schema[a].dataType) for a in facts.AMOUNTS})
+    late, wrong, withdrawn = number % 5 == 0, number % 7 == 0, number % 11 == 0
+    totals = DayTotals(m.spark, new_location(m.spark, "totals"), day_digits=4, levels=(level,))
+    totals.apply(0, sales.filter("false"), sales.filter(~late & ~wrong).union(older.filter(~late & wrong)))
+    totals.apply(1, older.filter(~late & wrong), sales.filter(late | wrong))
+    for _ in range(2):
+        totals.apply(2, sales.filter(withdrawn), sales.filter("false"))
+    return totals
+
+
+@query
+def totals_after_refresh(m: RetailModel) -> DataFrame:
+    return refreshed_totals(m, "shop_day").shop_day_sales()
+
+
+@query
+def guide_totals_after_refresh(m: RetailModel) -> DataFrame:
+    return refreshed_totals(m, "guide_day").guide_day_sales()
+
+
 # -- sources and binding -----------------------------------------------------------
 
 ACCOUNT_QUERY = """
@@ -437,6 +466,18 @@ def snapshot_diff(m: RetailModel) -> DataFrame:
     )
 
 
+@query
+def bucket_diff(m: RetailModel) -> DataFrame:
+    """Definitions against the registered jobs, some of which have another priority."""
+    keys = ("org_code", "mode", "name")
+    desired = digests.DigestedTable(m.spark, new_location(m.spark, "desired"), keys, levels=1)
+    existing = digests.DigestedTable(m.spark, new_location(m.spark, "existing"), keys, levels=1)
+    desired.write(m.definitions().filter("mode != 'plan' OR o_totalprice < 200000").drop("o_totalprice"))
+    priority = F.col("task_priority") + (F.col("id") % 13 == 0).cast("int")
+    existing.write(m.jobs().withColumn("task_priority", priority))
+    return digests.bucket_diff(desired, existing)
+
+
 @query
 def reconcile_actions(m: RetailModel) -> DataFrame:
     return reconcile.reconcile_actions(m.online_jobs(), m.jobs(), m.tenants())

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantflow.functions import dates, text
-from tenantflow.operators.lookups import fits_broadcast, lookup_join
+from tenantflow.operators.lookups import fits_broadcast, lookup_join, reads_little
 
 Tables = Mapping[str, DataFrame]
 
@@ -185,7 +185,8 @@ def _touched_members(tables: Tables, as_of: dt.date, days: int) -> DataFrame:
 
     registered = F.coalesce(recent("REGDATE"), F.lit(False))
     new_cards, old_cards = cards.filter(registered), cards.filter(~registered)
-    few = fits_broadcast(new_cards.select("VIPCARDNO", F.lit(0).alias("n_updates")))
+    counted = new_cards.select("VIPCARDNO", F.lit(0).alias("n_updates"))
+    few = None if reads_little(updates) else fits_broadcast(counted)
     all_updates = per_card(lookup_join(updates, new_cards, "VIPCARDNO", "left_semi", fits=few))
     new_members = lookup_join(new_cards, all_updates, "VIPCARDNO", "left", fits=few)
     recent_updates = per_card(updates.filter(recent("UPDATEDATE")))
@@ -298,7 +299,8 @@ def plan_extract(tables: Tables, as_of: dt.datetime) -> DataFrame:
             F.col("plan_name").alias("plan_item_name"), F.col("end_date").alias("flow_end_date"),
         )
     )
-    few = fits_broadcast(masters)
+    little = reads_little(items)
+    few = None if little else fits_broadcast(masters)
     running = lookup_join(items, masters, "plan_no", fits=few).filter(
         now.between(F.col("begin_date"), F.coalesce("stop_date", "flow_end_date"))
     )
@@ -312,7 +314,7 @@ def plan_extract(tables: Tables, as_of: dt.datetime) -> DataFrame:
         branch_list(branches),
         "plan_no",
         keys_from=items,
-        fits=fits_broadcast(branches, sized_by=counted_first),
+        fits=None if little else fits_broadcast(branches, sized_by=counted_first),
     )
     return listed.select(
         "plan_no",

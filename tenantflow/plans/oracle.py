@@ -136,6 +136,37 @@ FACTS = f"""
         LEFT JOIN ({guides()}) g ON g.org_code = s.org_code AND g.user_no = s.sale_guider_code
     """
 
+def shop_days(sales: str) -> str:
+    return f"""
+        SELECT org_code, dim_date_id, shop_code, count(DISTINCT order_no) AS order_count,
+               CAST(sum(amount) AS DOUBLE) AS real_amount,
+               CAST(sum(amount) AS DOUBLE) AS due_amount,
+               CAST(sum(discount) AS DOUBLE) AS discount_amount
+        FROM ({sales}) GROUP BY org_code, dim_date_id, shop_code
+    """
+
+
+def guide_days(sales: str) -> str:
+    return f"""
+        WITH by_guide AS (
+            SELECT org_code, dim_date_id, shop_code, sale_guider_code,
+                   count(DISTINCT order_no) AS order_count, sum(amount) AS amount,
+                   sum(discount) AS discount
+            FROM ({sales}) GROUP BY org_code, dim_date_id, shop_code, sale_guider_code
+        ), totals AS (
+            SELECT org_code, dim_date_id, shop_code, sum(amount) AS total
+            FROM ({sales}) GROUP BY org_code, dim_date_id, shop_code
+        )
+        SELECT org_code, dim_date_id, shop_code, sale_guider_code, order_count,
+               CAST(amount AS DOUBLE) AS real_amount, CAST(amount AS DOUBLE) AS due_amount,
+               CAST(discount AS DOUBLE) AS discount_amount,
+               CAST(amount AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0) AS share_of_shop
+        FROM by_guide JOIN totals USING (org_code, dim_date_id, shop_code)
+    """
+
+
+LEFT_SALES = f"SELECT * FROM ({SALES}) WHERE CAST(order_no AS BIGINT) % 11 <> 0"
+
 ORACLE: dict[str, str] = {
     "billing_trailing7": """
         SELECT CAST(l_orderkey AS VARCHAR) AS order_no,
@@ -302,29 +333,10 @@ ORACLE: dict[str, str] = {
     """,
     "prt_sales_load": LOADED_SALES,
     "fct_orders_enriched": FACTS,
-    "shop_day_sales": f"""
-        SELECT org_code, dim_date_id, shop_code, count(DISTINCT order_no) AS order_count,
-               CAST(sum(amount) AS DOUBLE) AS real_amount,
-               CAST(sum(amount) AS DOUBLE) AS due_amount,
-               CAST(sum(discount) AS DOUBLE) AS discount_amount
-        FROM ({SALES}) GROUP BY org_code, dim_date_id, shop_code
-    """,
-    "guide_day_sales": f"""
-        WITH by_guide AS (
-            SELECT org_code, dim_date_id, shop_code, sale_guider_code,
-                   count(DISTINCT order_no) AS order_count, sum(amount) AS amount,
-                   sum(discount) AS discount
-            FROM ({SALES}) GROUP BY org_code, dim_date_id, shop_code, sale_guider_code
-        ), totals AS (
-            SELECT org_code, dim_date_id, shop_code, sum(amount) AS total
-            FROM ({SALES}) GROUP BY org_code, dim_date_id, shop_code
-        )
-        SELECT org_code, dim_date_id, shop_code, sale_guider_code, order_count,
-               CAST(amount AS DOUBLE) AS real_amount, CAST(amount AS DOUBLE) AS due_amount,
-               CAST(discount AS DOUBLE) AS discount_amount,
-               CAST(amount AS DOUBLE) / nullif(CAST(total AS DOUBLE), 0) AS share_of_shop
-        FROM by_guide JOIN totals USING (org_code, dim_date_id, shop_code)
-    """,
+    "shop_day_sales": shop_days(SALES),
+    "totals_after_refresh": shop_days(LEFT_SALES),
+    "guide_totals_after_refresh": guide_days(LEFT_SALES),
+    "guide_day_sales": guide_days(SALES),
     "multi_tenant_scan": """
         SELECT c_custkey AS account_id, c_name AS name, c_acctbal AS balance, 19980701 AS day,
                'RETAIL' AS org_code FROM customer
@@ -451,6 +463,15 @@ ORACLE: dict[str, str] = {
                 SELECT 1 FROM scopes s WHERE s.org_code = x.org_code AND s.mode = x.mode)
         ) j ON j.org_code = d.org_code AND j.mode = d.mode AND j.name = d.name
     """,
+    "bucket_diff": f"""
+        SELECT coalesce(d.org_code, j.org_code) AS org_code, coalesce(d.mode, j.mode) AS mode,
+               coalesce(d.name, j.name) AS name,
+               CASE WHEN j.id IS NULL THEN 'insert' WHEN d.id IS NULL THEN 'delete'
+                    ELSE 'update' END AS action
+        FROM (SELECT * FROM ({DEFINITIONS}) WHERE mode <> 'plan' OR o_totalprice < 200000) d
+        FULL JOIN ({JOBS}) j ON j.org_code = d.org_code AND j.mode = d.mode AND j.name = d.name
+        WHERE j.id IS NULL OR d.id IS NULL OR j.id % 13 = 0
+    """,
     "reconcile_actions": f"""
         WITH jobs AS (
             SELECT j.*, t.org_code IS NOT NULL AS alive

@@ -69,6 +69,16 @@ def staged_at(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
+def is_written(spark: SparkSession, path: str) -> bool:
+    """Whether a whole write to ``path`` has come to its end."""
+    return path_exists(spark, f"{path}/_SUCCESS")
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that nothing reads any more."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -37,6 +37,7 @@ def shuffled(spark, monkeypatch):
     """Make every lookup join shuffle, and treat each key with 1 % of the rows as hot."""
     from tenantflow.operators import lookups
 
+    monkeypatch.setattr(lookups, "SMALL_BYTES", -1)
     monkeypatch.setattr(lookups, "BROADCAST_ROWS", -1)
     monkeypatch.setattr(lookups, "HOT_ROWS", 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")

@@ -59,6 +59,8 @@ def test_broadcast_only_when_measured_small(sides, monkeypatch):
     def text(df):
         return df._jdf.queryExecution().optimizedPlan().toString()
 
+    assert "strategy=broadcast" not in text(lookups.lookup_join(left, right, "k"))
+    monkeypatch.setattr(lookups, "SMALL_BYTES", -1)
     assert "strategy=broadcast" in text(lookups.lookup_join(left, right, "k"))
     assert "strategy=broadcast" not in text(
         lookups.lookup_join(left, right, "k", max_broadcast_rows=39)
@@ -67,6 +69,26 @@ def test_broadcast_only_when_measured_small(sides, monkeypatch):
     assert "strategy=broadcast" not in text(lookups.lookup_join(left, right, "k"))
 
 
+def test_what_a_frame_reads(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    twice = stored.join(stored.withColumnRenamed("id", "k"), F.col("id") == F.col("k")).groupBy("id").count()
+    monkeypatch.setattr(lookups, "SMALL_BYTES", 2 * size)
+    assert lookups.reads_little(stored) and lookups.reads_little(twice)
+    monkeypatch.setattr(lookups, "SMALL_BYTES", 2 * size - 1)
+    assert lookups.reads_little(stored) and not lookups.reads_little(twice)
+
+
+def test_small_joins_run_no_job_before(spark, sides):
+    left, right = sides
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "")
+    lookups.lookup_join(left, right, "k")
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_sized_by_never_decides_in_favour_alone(spark, sides):
     _, right = sides
     assert lookups.fits_broadcast(right, sized_by=spark.range(1))
