@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantflow.model import SIGNAL_SCHEMA
 
+#: Names of events are made unique in this namespace; another one makes other ids.
+EVENT_NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:tenantflow:change-event")
+
+_SEPARATOR = "\x1f"
+
 
 def signal_value(org_code: Column, dw_name: Column, time: Column) -> Column:
     """Refresh signal as JSON text."""
@@ -36,14 +43,31 @@ def latest_signals(signals: DataFrame) -> DataFrame:
     )
 
 
-def event_value(title: str, body: Column) -> Column:
-    """Change event envelope as JSON text; ``targets`` is empty for "everyone"."""
+def named_uuid(name: Column, namespace: uuid.UUID = EVENT_NAMESPACE) -> Column:
+    """The name-based UUID (version 5) of a text."""
+    digest = F.sha1(F.concat(F.unhex(F.lit(namespace.hex)), F.encode(name, "UTF-8")))
+    place = F.pmod(F.conv(F.substring(digest, 17, 1), 16, 10).cast("int"), F.lit(4)) + 1
+    variant = F.substring(F.lit("89ab"), place, F.lit(1))
+    return F.concat(
+        F.substring(digest, 1, 8), F.lit("-"), F.substring(digest, 9, 4), F.lit("-5"),
+        F.substring(digest, 14, 3), F.lit("-"), variant, F.substring(digest, 18, 3), F.lit("-"),
+        F.substring(digest, 21, 12),
+    )
+
+
+def event_value(title: str, body: Column, tenant: Column, content: Column) -> Column:
+    """Change event envelope as JSON text; ``targets`` is empty for "everyone".
+
+    The id follows from title, tenant and content, so that a batch which is sent again
+    sends the same events, and their readers can tell.
+    """
+    parts = [F.lit(title), F.coalesce(tenant, F.lit("")), F.to_json(content)]
     return F.to_json(
         F.struct(
             F.lit(title).alias("title"),
             body.alias("body"),
             F.lit("json").alias("mime"),
-            F.uuid().alias("uuid"),
+            named_uuid(F.concat_ws(_SEPARATOR, *parts)).alias("uuid"),
             F.array().cast("array<string>").alias("targets"),
         )
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -36,3 +36,13 @@ def default_warehouse(org_code: Column) -> Column:
 def canonical_hash(entries: Column) -> Column:
     """Hash of a map that does not depend on the order of its entries."""
     return F.sha2(F.to_json(F.array_sort(F.map_entries(entries))), 256)
+
+
+def collated(df: DataFrame, *columns: str, collation: str = "UTF8_LCASE") -> DataFrame:
+    """``df`` with text columns that compare as the source database does, such as without case."""
+    return df.withColumns({c: F.collate(F.col(c), collation) for c in columns})
+
+
+def plain_text(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns as texts that compare by their bytes again; spellings stay."""
+    return collated(df, *columns, collation="UTF8_BINARY")

@@ -19,7 +19,8 @@ _TENANT = "event_tenant"
 def row_events(changes: DataFrame, title: str) -> DataFrame:
     """One event per changed row, keyed by tenant."""
     body = F.struct("org_code", F.array(F.struct(*changes.columns)).alias("data"))
-    return changes.select(F.col("org_code").alias("key"), event_value(title, body).alias("value"))
+    value = event_value(title, body, F.col("org_code"), F.struct(*changes.columns))
+    return changes.select(F.col("org_code").alias("key"), value.alias("value"))
 
 
 def tenant_events(
@@ -53,5 +54,5 @@ def tenant_events(
         "part",
         "parts",
         F.size("data").alias("n_rows"),
-        event_value(title, F.struct("org_code", "data")).alias("value"),
+        event_value(title, F.struct("org_code", "data"), F.col("org_code"), F.col("data")).alias("value"),
     )

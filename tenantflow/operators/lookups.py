@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,6 +84,21 @@ def fits_broadcast(
     return rows <= max_rows and size <= BROADCAST_BYTES
 
 
+def key_hash(df: DataFrame, keys: Sequence[str]) -> Column | None:
+    """A hash that is equal for equal keys, under their collations; ``None`` where there is none.
+
+    Spark hashes the bytes of a text, which differ for texts that only a collation calls equal.
+    """
+    parts = []
+    for key in keys:
+        kind = df.schema[key].dataType
+        if isinstance(kind, T.StringType) and kind.collation not in ("UTF8_BINARY", "UTF8_LCASE"):
+            return None
+        lower = isinstance(kind, T.StringType) and kind.collation == "UTF8_LCASE"
+        parts.append(F.lower(key) if lower else F.col(key))
+    return F.xxhash64(*parts)
+
+
 def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float | None = None) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows and ``HOT_ROWS`` rows.
 
@@ -94,7 +109,10 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], share: float | None = Non
     share = HOT_SHARE if share is None else share
     most = int(1 / share) + 1
     top = F.expr(f"approx_top_k(key_hash, {most}, {max(_SKETCH_ITEMS, 8 * most)})")
-    hashed = df.select(F.xxhash64(*keys).alias("key_hash"))
+    own = key_hash(df, keys)
+    if own is None:
+        return []
+    hashed = df.select(own.alias("key_hash"))
     [(total, frequent)] = hashed.agg(F.count(F.lit(1)), top).collect()
     least = max(share * total, HOT_ROWS)
     return [item["item"] for item in frequent or [] if item["count"] > least]
@@ -112,6 +130,7 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` with ``right``, which holds at most one row per key.
 
+    Text keys match under their collation, which must be the same on both sides.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``; for the last two
     ``right`` may repeat keys. The result has the columns of ``left`` and then the rest
     of ``right``. Where ``left`` reads little, Spark plans the join. Else a ``right`` of
@@ -146,7 +165,7 @@ def lookup_join(
     hot = hot_key_hashes(left if keys_from is None else keys_from, keys)
     if not hot:
         return left.join(right, keys, how).select(*columns)
-    is_hot = F.xxhash64(*keys).isin(hot)
+    is_hot = key_hash(left, keys).isin(hot)
     hashable = [f.name for f in left.schema if not _holds_map(f.dataType)]
     spread = F.when(is_hot, F.pmod(F.xxhash64(*hashable), F.lit(SALTS))).otherwise(0)
     every = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tenantflow.functions.text import canonical_hash, default_warehouse
+from tenantflow.model import DATABASE_TYPES
 from tenantflow.operators.lookups import lookup_join
 from tenantflow.operators.upsert import upsert
 
@@ -178,13 +179,27 @@ def hash_diff(wanted: DataFrame, online: DataFrame) -> DataFrame:
     return joined.filter(~F.coalesce(same, F.lit(False))).select(*wanted.columns)
 
 
-def missing_tenants(desired: DataFrame, tenants: DataFrame) -> DataFrame:
-    """Rows for tenants that have none, inactive and with the default settings."""
-    return new_rows(desired.select("org_code").distinct(), tenants, "org_code").select(
+def missing_tenants(desired: DataFrame, tenants: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Rows for tenants that have none: inactive, with the settings that ``desired`` gives.
+
+    Settings name the type of the database; without a type, or without settings, it is
+    SQL Server. With ``as_of`` the rows have the times of their making and last change.
+    """
+    given = "database_config" in desired.columns
+    if given:
+        config = F.col("database_config")
+        wanted = desired.groupBy("org_code").agg(F.max_by(config, canonical_hash(config)).alias("database_config"))
+    else:
+        wanted = desired.select("org_code").distinct()
+    kind = F.col("database_config")["database_type"] if given else F.lit(None).cast("string")
+    times = [] if as_of is None else [as_of.alias("created_at"), as_of.alias("updated_at")]
+    return new_rows(wanted, tenants, "org_code").select(
         "org_code",
-        F.lit("sql_server").alias("database_type"),
+        F.coalesce(kind, F.lit(DATABASE_TYPES[0])).alias("database_type"),
+        *(["database_config"] if given else []),
         F.lit(False).alias("activated"),
         default_warehouse(F.col("org_code")).alias("online_dw_name"),
+        *times,
     )
 
 
@@ -197,7 +212,8 @@ def changed_configs(desired: DataFrame, tenants: DataFrame) -> DataFrame:
     differs = ~canonical_hash(F.col("old_config")).eqNullSafe(
         canonical_hash(F.col("database_config"))
     )
-    return joined.filter(differs & ~F.col("config_self_managed")).select(
+    self_managed = F.coalesce("config_self_managed", F.lit(False))
+    return joined.filter(differs & ~self_managed).select(
         "org_code", "database_config"
     )
 

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Iterable, Sequence
+from functools import reduce
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,8 +24,11 @@ from tenantflow.plans.runner import FileTables, run_job
 from tenantflow.plans.totals import DayTotals
 from tenantflow.session import new_location, staged
 from tenantflow.sinks import tables
+from tenantflow.sinks.targets import CatalogTables
+from tenantflow.sources.fetched import Comparison, scan_fetched
+from tenantflow.sources.splits import equal_parts
 from tenantflow.sources.tenants import query_tenant, scan_tenants
-from tenantflow.streaming.refresh import FACT_PARTITIONS, refresh_batch, rows_of, tenant_names
+from tenantflow.streaming.refresh import FACT_PARTITIONS, refresh_batch, rows_of_tenants
 
 AS_OF = dt.date(1998, 7, 1)
 NEXT_DAY = AS_OF + dt.timedelta(days=1)
@@ -30,7 +37,6 @@ PRODUCTS_AS_OF = dt.datetime(2001, 8, 1)
 MEMBERS_AS_OF = dt.date(2024, 1, 31)
 MEMBERS_TODAY = dt.date(2024, 1, 30)
 EVENTS_CUT = "2024-01-20 00:00:00"
-SIGNALS_SINCE = "2024-01-30 00:00:00"
 EVENT_TITLE = "delta.user_state"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -135,6 +141,14 @@ def guide_dim(m: RetailModel) -> DataFrame:
     return extracts.guide_dim(m.guides(), m.nodes())
 
 
+@query
+def guide_dim_collated(m: RetailModel) -> DataFrame:
+    """Guides of a tenant and their shops, whose codes are spelled in several ways."""
+    spelled = F.when(F.col("id") % 2 == 0, F.lit("nation_")).otherwise(F.lit("Nation_"))
+    guides = m.guides().withColumn("shop_code", F.concat(spelled, F.col("shop_id").cast("string")))
+    return extracts.guide_dim_by_code(guides, m.nodes(), "Europe")
+
+
 # -- facts -------------------------------------------------------------------------
 
 
@@ -222,6 +236,38 @@ def multi_tenant_scan(m: RetailModel) -> DataFrame:
     return scan_tenants(tenants, lambda t: query_tenant(m.spark, ACCOUNT_QUERY, t, params))
 
 
+@query
+def tenant_fetch(m: RetailModel) -> DataFrame:
+    """Nations as tenants, whose customers in credit are fetched from a file of all."""
+    path = f"{m.folder}/customer.parquet"
+
+    def fetch(org_code: str, dw_name: str, comparisons: Sequence[Comparison]) -> Iterable[pa.RecordBatch]:
+        wanted = [("c_nationkey", "=", int(org_code)), *comparisons]
+        return pq.read_table(path, columns=["c_custkey", "c_acctbal"], filters=wanted).to_batches()
+
+    schema = m.raw("customer").select("c_custkey", "c_acctbal").schema
+    codes = [str(r.n_nationkey) for r in m.raw("nation").select("n_nationkey").collect()]
+    tenants = [TenantRef.with_default_warehouse(code) for code in sorted(codes)]
+    return scan_fetched(m.spark, tenants, fetch, schema).filter("c_acctbal > 0 AND org_code != '3'")
+
+
+@query
+def range_splits(m: RetailModel) -> DataFrame:
+    """Orders whose numbers come in runs, read in sixteen parts by quantiles; what each part holds.
+
+    A third of the numbers lies in a thousandth of the range.
+    """
+    key = F.col("o_orderkey")
+    number = F.when(key % 3 == 0, key).otherwise(key * 1000)
+    orders = m.raw("orders").select(number.alias("number"))
+    conditions = equal_parts(orders, "number", 16).conditions()
+    parts = [orders.filter(c).agg(F.count("*").alias("n")) for c in conditions]
+    held = reduce(DataFrame.union, parts)
+    return held.agg(
+        F.count("*").alias("parts"), F.sum("n").alias("rows"), (F.max("n") <= 2 * F.avg("n")).alias("even")
+    )
+
+
 @query
 def parameterized_query(m: RetailModel) -> DataFrame:
     tenant = TenantRef.with_default_warehouse("SHOP")
@@ -254,11 +300,12 @@ def bind_positional(m: RetailModel) -> DataFrame:
 
 @query
 def full_refresh(m: RetailModel) -> DataFrame:
-    """Yesterday's load is replaced by today's."""
-    target = FileTables(m.spark, new_location(m.spark, "warehouse"))
-    target.replace(m.product_info().select("product_code", "product_name"), "tmp_product")
-    target.replace(m.product_info().select("product_code", "sales_price"), "tmp_product")
-    return target.read("tmp_product")
+    """Yesterday's load of a catalog table is replaced by today's, and that by one made of it."""
+    target, table = CatalogTables(m.spark), f"tmp_product_{uuid.uuid4().hex}"
+    target.replace(m.product_info().select("product_code", "product_name"), table)
+    target.replace(m.product_info().select("product_code", "sales_price"), table)
+    target.replace(target.read(table).filter("product_code != '1'"), table)
+    return target.read(table)
 
 
 @query
@@ -270,6 +317,19 @@ def append_insert(m: RetailModel) -> DataFrame:
     return m.spark.read.parquet(path)
 
 
+@query
+def append_once(m: RetailModel) -> DataFrame:
+    """Orders in batches by month of the year, some of which are sent again with others."""
+    path = new_location(m.spark, "orders_once")
+    orders = m.raw("orders").select(
+        "o_orderkey", "o_totalprice", F.month("o_orderdate").cast("string").alias("batch_id")
+    )
+    for months in (("1", "2", "3"), ("3", "4", "5", "6"), ("1", "6")):
+        tables.append_once(orders.filter(F.col("batch_id").isin(*months)), path)
+    tables.append_once(orders, path)
+    return tables.text_partitions(m.spark, path, ["batch_id"])
+
+
 @query
 def upsert_replace(m: RetailModel) -> DataFrame:
     """Order totals replaced by those of their last line; columns not loaded become null."""
@@ -309,7 +369,10 @@ def synced_state(m: RetailModel) -> incremental.SyncResult:
 
 @query
 def max_marker(m: RetailModel) -> DataFrame:
-    return incremental.max_marker(user_state(m)[1], "ts")
+    """The marker of a stored target, from the footers of its files."""
+    path = new_location(m.spark, "user-state")
+    tables.full_refresh(user_state(m)[1], path)
+    return incremental.footer_marker(m.spark, path, "ts")
 
 
 @query
@@ -346,7 +409,7 @@ def change_event(m: RetailModel) -> DataFrame:
         field("$.title").alias("title"),
         field("$.mime").alias("mime"),
         field("$.targets").alias("targets"),
-        F.length(field("$.uuid")).alias("uuid_length"),
+        field("$.uuid").alias("uuid"),
         field("$.body.org_code").alias("org_code"),
         field("$.body.data[0].event_id").cast("long").alias("event_id"),
         field("$.body.data[0].event_type").alias("event_type"),
@@ -453,6 +516,16 @@ def tenant_defaults(m: RetailModel) -> DataFrame:
     return reconcile.missing_tenants(m.definitions(), m.tenants())
 
 
+@query
+def tenant_inserts(m: RetailModel) -> DataFrame:
+    """Customers that are no tenants yet; every third one names the type of its database."""
+    config, key = F.col("database_config"), F.col("org_code").substr(-1, 1).cast("int")
+    named = F.map_concat(config, F.create_map(F.lit("database_type"), F.lit("mysql")))
+    desired = m.desired_configs().withColumn("database_config", F.when(key % 3 == 0, named).otherwise(config))
+    made = reconcile.missing_tenants(desired, m.tenants(), instant("2024-02-01 00:00:00"))
+    return made.select("*", config["segment"].alias("segment")).drop("database_config")
+
+
 @query
 def snapshot_diff(m: RetailModel) -> DataFrame:
     """Definitions since 1997 without the plan mode, which some tenants have given up."""
@@ -551,10 +624,9 @@ def signal_dedupe(m: RetailModel) -> DataFrame:
 
 @query
 def signal_semi_sales(m: RetailModel) -> DataFrame:
-    """The sales of the tenants that signalled on the last day."""
-    recent = m.signal_messages().filter(F.col("ts") >= instant(SIGNALS_SINCE))
-    tenants = messages.latest_signals(messages.parse_signals(recent))
-    return rows_of(m.customer_sales(), tenant_names(tenants))
+    """The sales of the tenants that signalled."""
+    tenants = messages.latest_signals(messages.parse_signals(m.signal_messages()))
+    return rows_of_tenants(m.customer_sales(), tenants)
 
 
 @query

@@ -380,6 +380,26 @@ def guide_dim(guides: DataFrame, nodes: DataFrame, org_code: str | None = None)
     )
 
 
+def guide_dim_by_code(
+    guides: DataFrame, nodes: DataFrame, org_code: str | None = None, collation: str = "UTF8_LCASE"
+) -> DataFrame:
+    """:func:`guide_dim` of guides that name their shop by its code.
+
+    Codes and tenants match as in source databases that ignore case; the result has the
+    spelling of the nodes.
+    """
+    known = text.collated(guides, "org_code", "shop_code", collation=collation)
+    active = of_tenant(known, org_code).filter(
+        text.non_blank(F.col("user_no")) & (F.col("is_deleted") == 0) & (F.col("is_dimission") == 0)
+    )
+    shops = text.collated(nodes.select(F.col("code").alias("shop_code")), "shop_code", collation=collation)
+    spelled = shops.select("shop_code", F.collate("shop_code", "UTF8_BINARY").alias("code"))
+    joined = lookup_join(active, spelled, "shop_code", "left")
+    return text.plain_text(joined, "org_code").select(
+        "id", F.trim("user_no").alias("user_no"), "name", F.col("code").alias("shop_code"), "org_code"
+    )
+
+
 def dim_shop(shops: DataFrame) -> DataFrame:
     """Shops that are online."""
     return shops.filter(F.col("online") == 1).select(

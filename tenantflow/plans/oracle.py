@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from tenantflow.functions.messages import EVENT_NAMESPACE
+
 HEADERS = """
     SELECT o_orderkey, o_custkey, o_orderdate, r_name AS org_code, n_name AS shop_code
     FROM orders
@@ -123,6 +125,19 @@ OLD_MARKER = "(SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')"
 
 CHANGES = f"SELECT * FROM ({USER_STATE}) WHERE ts > {OLD_MARKER}"
 
+#: The name of a change event: title, tenant and row, and its id of version 5.
+EVENT_NAME = """
+    'delta.user_state' || chr(31) || 'T' || CAST(user_id % 10 AS VARCHAR) || chr(31)
+    || '{"user_id":' || user_id || ',"event_id":' || event_id
+    || ',"ts":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || '","event_type":"' || event_type
+    || '","value":' || value || ',"org_code":"T' || user_id % 10 || '"}'
+"""
+EVENT_ID = """
+    concat_ws('-', digest[1:8], digest[9:12], '5' || digest[14:16],
+              translate(digest[17], '0123456789abcdef', '89ab89ab89ab89ab') || digest[18:20],
+              digest[21:32])
+"""
+
 SIGNALS = """
     SELECT 'T' || CAST(user_id AS VARCHAR) AS org_code,
            'T' || CAST(user_id AS VARCHAR) || 'DW' AS dw_name,
@@ -325,6 +340,7 @@ ORACLE: dict[str, str] = {
         FROM nation JOIN region ON r_regionkey = n_regionkey WHERE r_name = 'ASIA'
     """,
     "guide_dim": guides(),
+    "guide_dim_collated": f"SELECT * FROM ({guides()}) WHERE org_code = 'EUROPE'",
     "guide_dedupe": f"""
         SELECT id, user_no, name, shop_code, org_code FROM (
             SELECT *, row_number() OVER (PARTITION BY org_code, user_no ORDER BY id DESC) AS place
@@ -343,6 +359,13 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT s_suppkey, s_name, s_acctbal, 19980701, 'WHOLESALE' FROM supplier
     """,
+    "tenant_fetch": """
+        SELECT c_custkey, c_acctbal, CAST(c_nationkey AS VARCHAR) AS org_code
+        FROM customer WHERE c_acctbal > 0 AND c_nationkey <> 3
+    """,
+    "range_splits": """
+        SELECT CAST(16 AS BIGINT) AS parts, count(*) AS rows, TRUE AS even FROM orders
+    """,
     "parameterized_query": """
         SELECT 'SHOP' AS org_code, o_orderkey, o_totalprice FROM orders
         WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 100000
@@ -358,8 +381,12 @@ ORACLE: dict[str, str] = {
     "full_refresh": """
         SELECT CAST(p_partkey AS VARCHAR) AS product_code,
                CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS sales_price FROM part
+        WHERE p_partkey <> 1
     """,
     "append_insert": "SELECT o_orderkey, o_orderdate, o_totalprice FROM orders",
+    "append_once": """
+        SELECT o_orderkey, o_totalprice, CAST(month(o_orderdate) AS VARCHAR) AS batch_id FROM orders
+    """,
     "upsert_replace": """
         WITH batch AS (
             SELECT l_orderkey, l_linestatus, l_extendedprice, l_shipdate,
@@ -392,9 +419,9 @@ ORACLE: dict[str, str] = {
     "change_feed": CHANGES,
     "change_event": f"""
         SELECT 'T' || CAST(user_id % 10 AS VARCHAR) AS key, 'delta.user_state' AS title,
-               'json' AS mime, '[]' AS targets, 36 AS uuid_length,
+               'json' AS mime, '[]' AS targets, {EVENT_ID} AS uuid,
                'T' || CAST(user_id % 10 AS VARCHAR) AS org_code, event_id, event_type, value
-        FROM ({CHANGES})
+        FROM (SELECT *, sha1(unhex('{EVENT_NAMESPACE.hex}') || encode({EVENT_NAME})) AS digest FROM ({CHANGES}))
     """,
     "change_event_batches": f"""
         SELECT 'T' || CAST(user_id % 10 AS VARCHAR) AS key, (count(*) + 3) // 4 AS parts,
@@ -445,6 +472,13 @@ ORACLE: dict[str, str] = {
         FROM ({DEFINITIONS})
         WHERE org_code NOT IN (SELECT c_name FROM customer WHERE c_acctbal >= 0)
     """,
+    "tenant_inserts": """
+        SELECT c_name AS org_code, FALSE AS activated, c_name || 'DW' AS online_dw_name,
+               CASE WHEN c_custkey % 10 % 3 = 0 THEN 'mysql' ELSE 'sql_server' END AS database_type,
+               TIMESTAMP '2024-02-01' AS created_at, TIMESTAMP '2024-02-01' AS updated_at,
+               c_mktsegment AS segment
+        FROM customer WHERE c_acctbal < 0
+    """,
     "snapshot_diff": f"""
         WITH desired AS (
             SELECT * FROM ({DEFINITIONS})
@@ -560,7 +594,7 @@ ORACLE: dict[str, str] = {
                CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS real_amount
         FROM orders
         WHERE 'T' || CAST(o_custkey AS VARCHAR) IN (
-            SELECT org_code FROM ({SIGNALS}) WHERE ts >= TIMESTAMP '2024-01-30')
+            SELECT org_code FROM ({SIGNALS}))
     """,
     "days_ago": """
         SELECT event_id, CAST(CAST(ts AS DATE) - INTERVAL 3 DAY AS TIMESTAMP)

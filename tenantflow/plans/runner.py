@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import functions as F
 
 from tenantflow.model import IncrementSpec, SyncSpec, TenantRef
 from tenantflow.operators.binding import union_statements
-from tenantflow.operators.incremental import SyncResult, change_feed, newer_than, read_marker
+from tenantflow.operators.incremental import SyncResult, change_feed, newer_than
 from tenantflow.session import new_location, remove_folder, staged_at
-from tenantflow.sinks.targets import FileTables, JdbcTables, RunStatements
+from tenantflow.sinks.targets import CatalogTables, FileTables, JdbcTables, RunStatements
 from tenantflow.sources import jdbc
 from tenantflow.sources.tenants import SourceRegistry, render_marker
 
@@ -18,7 +19,7 @@ from tenantflow.sources.tenants import SourceRegistry, render_marker
 #: Frames to load, or a function that makes them from the marker to start after.
 Statements = Sequence[DataFrame] | Callable[[str | None], Sequence[DataFrame]]
 
-Target = FileTables | JdbcTables
+Target = FileTables | CatalogTables | JdbcTables
 
 
 def run_job(spec: SyncSpec, statements: Statements, target: Target) -> SyncResult:
@@ -44,14 +45,17 @@ def run_job(spec: SyncSpec, statements: Statements, target: Target) -> SyncResul
 
 def _run_incremental(spec: SyncSpec, statements: Statements, target: Target, copy: str) -> SyncResult:
     local, remote = spec.increment.local_field, spec.increment.remote_field
-    marker = read_marker(target.read(spec.target_tables[0], spec.partition_by), local)
+    marker = target.marker(spec.target_tables[0], local, spec.partition_by)
     if callable(statements):
         newer = statements(marker)
     else:
         newer = [newer_than(s, remote, marker, spec.inclusive) for s in statements]
-    delta = staged_at(union_statements(newer, spec.target_columns, spec.bind), copy)
-    for table in spec.target_tables:
-        target.upsert(delta, table, spec.keys, spec.order_by, spec.partition_by)
+    arrived = Observation()
+    rows = union_statements(newer, spec.target_columns, spec.bind).observe(arrived, F.count(F.lit(1)).alias("rows"))
+    delta = staged_at(rows, copy)
+    if arrived.get["rows"]:  # counted as the rows were written
+        for table in spec.target_tables:
+            target.upsert(delta, table, spec.keys, spec.order_by, spec.partition_by)
     loaded = target.read(spec.target_tables[0], spec.partition_by)
     notify = spec.increment.notify_change
     return SyncResult(loaded, change_feed(loaded, local, marker) if notify else None, marker)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tenantflow.operators.lookups import lookup_join
 from tenantflow.operators.upsert import upsert
-from tenantflow.session import new_location, staged
+from tenantflow.session import new_location, path_exists, remove_folder, staged, staged_at
 
 
 def by_partition(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -29,6 +29,32 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     by_partition(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
+def append_once(
+    df: DataFrame, path: str, batch_column: str = "batch_id", ledger: str | None = None
+) -> None:
+    """Add the rows of batches that have not been added yet.
+
+    ``batch_column`` names the batch of a row; each batch has a folder. The ledger, a table
+    beside the rows, lists the batches that are complete. Rows of listed batches are left
+    out. A batch that was written in part before a failure is not listed, and its folder is
+    replaced when it is sent again; so any batch is there once, however often it is sent.
+    """
+    spark, ledger = df.sparkSession, ledger or f"{path}.ledger"
+    rows = df
+    if path_exists(spark, ledger):
+        known = spark.read.schema(T.StructType([df.schema[batch_column]])).parquet(ledger)
+        rows = lookup_join(df, known, batch_column, "left_anti")
+    copy = new_location(spark, "append")
+    try:
+        rows = staged_at(rows, copy)
+        if rows.isEmpty():
+            return
+        replace_partitions(rows, path, [batch_column])
+        rows.select(batch_column).distinct().write.mode("append").parquet(ledger)
+    finally:
+        remove_folder(spark, copy)
+
+
 def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace the partitions that occur in ``df`` and leave the others.
 
@@ -61,24 +87,36 @@ def replace_scope(
     """Replace all partitions in scope by the rows of ``df``, empty ones too.
 
     ``in_scope`` filters a frame of partition values (text). New partitions are written
-    first; the folders of those that have no rows any more are then removed, which a
-    repeated batch does again without harm.
+    first; the folders of those that have no rows any more, found by an anti-join, are then
+    removed, which a repeated batch does again without harm. Only their names reach the driver.
     """
     spark = df.sparkSession
-    rows = staged(df, "scope")
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = root.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    before = []
-    if files.exists(root):
-        values = text_partitions(spark, path, partition_by, df.schema).select(*partition_by)
-        before = in_scope(values).distinct().collect()  # folders of the batch's tenants
-    now = {tuple(map(str, r)) for r in rows.select(*partition_by).distinct().collect()} if before else set()
-    replace_partitions(rows, path, partition_by)
+    copy = new_location(spark, "scope")
+    try:
+        rows = staged_at(df, copy)
+        gone = []
+        if path_exists(spark, path):
+            values = text_partitions(spark, path, partition_by, df.schema).select(*partition_by)
+            now = rows.select(*[F.col(c).cast("string").alias(c) for c in partition_by]).distinct()
+            same = [values[c].eqNullSafe(now[c]) for c in partition_by]
+            gone = in_scope(values).distinct().join(now, same, "left_anti").collect()
+        replace_partitions(rows, path, partition_by)
+    finally:
+        remove_folder(spark, copy)
     utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-    for gone in before:
-        if tuple(map(str, gone)) not in now:
-            folders = [utils.getPartitionPathString(c, gone[c]) for c in partition_by]
-            files.delete(spark._jvm.org.apache.hadoop.fs.Path("/".join([path, *folders])), True)
+    for partition in gone:
+        folders = [utils.getPartitionPathString(c, partition[c]) for c in partition_by]
+        remove_folder(spark, "/".join([path, *folders]))
+
+
+def touched_rows(
+    target: DataFrame, batch: DataFrame, partition_by: Sequence[str], keys: Sequence[str]
+) -> DataFrame:
+    """The rows in partitions that the batch has rows of."""
+    if not set(partition_by) <= set(keys):
+        raise ValueError(f"partition columns {list(partition_by)} must be among the keys")
+    touched = batch.select(*partition_by).distinct()
+    return lookup_join(target, touched, partition_by, "left_semi", sized_by=batch)
 
 
 def upsert_partitions(
@@ -95,10 +133,7 @@ def upsert_partitions(
     partition to another. The merged rows are written aside first: the target's files
     stay as they are until everything that replaces them exists.
     """
-    if not set(partition_by) <= set(keys):
-        raise ValueError(f"partition columns {list(partition_by)} must be among the keys")
-    touched = batch.select(*partition_by).distinct()
-    affected = lookup_join(target, touched, partition_by, "left_semi", sized_by=batch)
+    affected = touched_rows(target, batch, partition_by, keys)
     merged = staged(upsert(affected, batch, keys, order_by), "merged")
     replace_partitions(merged, path, partition_by)
 

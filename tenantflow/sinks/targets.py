@@ -1,6 +1,6 @@
-"""Targets of sync jobs: Parquet folders, and tables of a database.
+"""Targets of sync jobs: Parquet folders, tables of a catalog, and tables of a database.
 
-Both can replace a table, add to it and replace rows by key.
+All can replace a table, add to it and replace rows by key.
 """
 
 from __future__ import annotations
@@ -8,11 +8,15 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tenantflow.operators.incremental import read_footer_marker, read_marker
 from tenantflow.operators.upsert import latest_per_key, upsert
+from tenantflow.session import new_location, path_exists, remove_folder, staged_at
 from tenantflow.sinks import tables
 from tenantflow.sources import jdbc
 
@@ -59,6 +63,15 @@ class FileTables:
             return self.spark.read.schema(self.schemas[table]).parquet(self.path(table))
         return tables.text_partitions(self.spark, self.path(table), partition_by)
 
+    def marker(self, table: str, field: str, partition_by: Sequence[str] = ()) -> str | None:
+        """The highest value of a column as text, from the files' footers where they have it."""
+        if field in partition_by:
+            return read_marker(self.read(table, partition_by), field)
+        return read_footer_marker(self.spark, self.path(table), field)
+
+    def append_once(self, df: DataFrame, table: str, batch_column: str = "batch_id") -> None:
+        tables.append_once(df, self.path(table), batch_column, f"{self.root}/{table}.ledger")
+
     def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Replace the whole table; ``df`` may read from it."""
         versions = self._versions(table)
@@ -74,7 +87,13 @@ class FileTables:
             files.delete(self._files(f"{self.root}/{table}.versions/{old}")[1], False)
 
     def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
-        tables.append(df, self.path(table), partition_by)
+        """Add rows, with their columns in the order of the rows that are there."""
+        path = self.path(table)
+        if path_exists(self.spark, path):
+            stored = self.read(table, partition_by).columns
+            if sorted(stored) == sorted(df.columns):
+                df = df.select(*stored)
+        tables.append(df, path, partition_by)
 
     def upsert(
         self,
@@ -93,6 +112,86 @@ class FileTables:
             self.replace(upsert(current, batch, keys, order_by), table)
 
 
+def merge_rows(
+    batch: DataFrame, table: str, columns: Sequence[str], keys: Sequence[str], order_by: Sequence[str]
+) -> None:
+    """Keyed replace by the table's own row-level merge; whole rows are replaced."""
+    rows = latest_per_key(batch, keys, order_by)
+    whole = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).alias(c) for c in columns])
+    same = [F.col(f"{table}.{k}") == F.col(f"batch.{k}") for k in keys]
+    merge = whole.alias("batch").mergeInto(table, reduce(Column.__and__, same))
+    merge.whenMatched().updateAll().whenNotMatched().insertAll().merge()
+
+
+@dataclass(frozen=True)
+class CatalogTables:
+    """Target tables of a catalog's database.
+
+    A table that is replaced is written to a new location and its entry is then pointed
+    there. A keyed replace is the table's own merge where its format has one; else the
+    touched partitions, or without partitions the table, are written anew.
+    """
+
+    spark: SparkSession
+    database: str = "default"
+
+    def name(self, table: str) -> str:
+        return f"{jdbc.identifier(self.database)}.{jdbc.identifier(table)}"
+
+    def merges(self, table: str) -> bool:
+        """Whether the format of a table replaces single rows."""
+        plan = self.spark.table(self.name(table))._jdf.queryExecution().analyzed()
+        [leaf] = [plan.collectLeaves().apply(k) for k in range(plan.collectLeaves().size())]
+        kind = self.spark._jvm.java.lang.Class.forName("org.apache.spark.sql.connector.catalog.SupportsRowLevelOperations")
+        return leaf.nodeName() == "DataSourceV2Relation" and kind.isInstance(leaf.table())
+
+    def read(self, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+        return self.spark.table(self.name(table))
+
+    def marker(self, table: str, field: str, partition_by: Sequence[str] = ()) -> str | None:
+        return read_marker(self.read(table), field)
+
+    def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+        """Replace the whole table; ``df`` may read from it."""
+        tables.publish(df, self.name(table), partition_by)
+
+    def append(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
+        if not self.spark.catalog.tableExists(self.name(table)):
+            return self.replace(df, table, partition_by)
+        df.select(*self.read(table).columns).write.insertInto(self.name(table))
+
+    def _replace_partitions(self, rows: DataFrame, table: str) -> None:
+        mode = "spark.sql.sources.partitionOverwriteMode"  # an insert takes it from the session only
+        before = self.spark.conf.get(mode)
+        self.spark.conf.set(mode, "dynamic")
+        try:
+            rows.write.insertInto(self.name(table), overwrite=True)
+        finally:
+            self.spark.conf.set(mode, before)
+
+    def upsert(
+        self,
+        batch: DataFrame,
+        table: str,
+        keys: Sequence[str],
+        order_by: Sequence[str],
+        partition_by: Sequence[str] = (),
+    ) -> None:
+        current = self.read(table)
+        if self.merges(table):
+            merge_rows(batch, self.name(table), current.columns, keys, order_by)
+        elif partition_by:
+            touched = tables.touched_rows(current, batch, partition_by, keys)
+            copy = new_location(self.spark, table)
+            try:
+                rows = staged_at(upsert(touched, batch, keys, order_by), copy)
+                self._replace_partitions(rows.select(*current.columns), table)
+            finally:
+                remove_folder(self.spark, copy)
+        else:
+            self.replace(upsert(current, batch, keys, order_by), table)
+
+
 #: Runs statements on a database in one transaction: (connection options, statements).
 RunStatements = Callable[[Mapping[str, str], Sequence[str]], None]
 
@@ -137,6 +236,12 @@ class JdbcTables:
     def read(self, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
         return jdbc.read(self.spark, jdbc.read_options(self.connection, table=table))
 
+    def marker(self, table: str, field: str, partition_by: Sequence[str] = ()) -> str | None:
+        """The highest value of a column as text; the database looks for it."""
+        query = f"SELECT MAX({jdbc.identifier(field)}) AS max_value FROM {jdbc.table_name(table)}"
+        found = jdbc.read(self.spark, jdbc.read_options(self.connection, query=query))
+        return found.select(F.col("max_value").cast("string")).first()[0]
+
     def replace(self, df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> None:
         """Empty the table and fill it; the database keeps its definition."""
         self._write(df, table, "overwrite")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
 import re
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -15,6 +14,8 @@ from pyspark.sql import functions as F
 from tenantflow.model import TenantRef
 from tenantflow.sources import jdbc
 from tenantflow.sources.jdbc import identifier
+from tenantflow.sources.literals import literal
+from tenantflow.sources.splits import Splits, read_split
 
 #: Tenants of one server whose query is sent as one text, and databases asked at a time.
 TENANTS_PER_QUERY = 64
@@ -42,28 +43,6 @@ class SourceRegistry:
         return settings
 
 
-def literal(value: object, dialect: str | None = None) -> str:
-    """A value as a SQL literal for a remote database.
-
-    MySQL takes a backslash in a text for the start of an escape, others do not; where
-    the ``dialect`` is not known, such texts are refused.
-    """
-    if value is None:
-        return "NULL"
-    if isinstance(value, bool):
-        return "1" if value else "0"
-    if isinstance(value, int | float):
-        return str(value)
-    if isinstance(value, dt.date | str):
-        text = str(value)
-        if "\\" in text:
-            if dialect is None:
-                raise ValueError("a backslash needs the dialect of the database")
-            text = text.replace("\\", "\\\\") if dialect == "mysql" else text
-        return "'" + text.replace("'", "''") + "'"
-    raise TypeError(f"no literal for {type(value).__name__}")
-
-
 def render_remote(
     template: str, tenant: TenantRef, params: Mapping | None = None, dialect: str | None = None
 ) -> str:
@@ -137,9 +116,9 @@ def scan_tenant_databases(
     template: str,
     params: Mapping | None = None,
     tag: str | None = None,
-    partitions: Callable[[TenantRef], jdbc.RangePartitions | None] = lambda tenant: None,
+    partitions: Callable[[TenantRef], jdbc.RangePartitions | Splits | None] = lambda tenant: None,
 ) -> DataFrame:
-    """:func:`scan_tenants` over JDBC, with range partitions for the tenants that need them.
+    """:func:`scan_tenants` over JDBC, with ranges or splits for the tenants that need them.
 
     A query that names its database by ``${dw_name}`` is the same wherever on a server it
     runs, so the other tenants of a server are read by one query for
@@ -172,11 +151,16 @@ def _read_tenant(
     tenant: TenantRef,
     template: str,
     params: Mapping | None,
-    split: jdbc.RangePartitions | None,
+    split: jdbc.RangePartitions | Splits | None,
 ) -> DataFrame:
-    query = render_remote(template, tenant, params, settings.get("database_type"))
-    options = jdbc.read_options(jdbc.connection_options(settings), query=query, partitions=split)
-    return jdbc.read(spark, options).withColumn("org_code", F.lit(tenant.org_code))
+    dialect = settings.get("database_type")
+    query = render_remote(template, tenant, params, dialect)
+    connection = jdbc.connection_options(settings)
+    if isinstance(split, Splits):
+        found = read_split(spark, connection, query, split, dialect)
+    else:
+        found = jdbc.read(spark, jdbc.read_options(connection, query=query, partitions=split))
+    return found.withColumn("org_code", F.lit(tenant.org_code))
 
 
 def _read_server(

@@ -193,7 +193,7 @@ def test_tenant_settings(spark, rows):
     )
     changed = reconcile.changed_configs(wanted, known).orderBy("org_code").collect()
     assert [r.org_code for r in changed] == ["B", "D"]
-    assert rows(reconcile.missing_tenants(wanted, known)) == [("E", "sql_server", False, "EDW")]
+    assert rows(reconcile.missing_tenants(wanted, known)) == [("E", "sql_server", {"x": "1"}, False, "EDW")]
 
 
 # -- choice of jobs ----------------------------------------------------------------

@@ -75,6 +75,8 @@ def database(spark, monkeypatch):
     def read(session, options):
         name = options.get("dbtable") or options["query"]
         log.append(("read", name, options["url"]))
+        if name.startswith("SELECT MAX(at)"):
+            return spark.createDataFrame([(2,)], "max_value int")
         return stored.get(name, spark.createDataFrame([("a", 1, 1), ("b", 2, 2)], "k string, v int, at int"))
 
     def write(df, options, mode):
@@ -109,7 +111,7 @@ def test_keyed_replace_in_a_database(spark, database):
     result = run_job(spec, [new], target)
     assert result.old_marker == "2"
     assert database == [
-        ("read", "t", "jdbc:mysql://h:1/"),
+        ("read", "SELECT MAX(at) AS max_value FROM t", "jdbc:mysql://h:1/"),
         ("overwrite", "t_staging", [("b", 6, 4)]),
         ("run", "jdbc:mysql://h:1/", ["REPLACE INTO t (k, v, at) SELECT k, v, at FROM t_staging"]),
         ("read", "t", "jdbc:mysql://h:1/"),
