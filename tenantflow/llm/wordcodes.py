@@ -31,10 +31,11 @@ ID_TYPE = np.dtype("<u4")
 
 def is_plain(text: str) -> bool:
     """Whether the words of ``text`` can be told apart without the library."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return False
+    if not text.isascii():
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
     return "<|" not in text and not _SEPARATORS.search(text)
 
 
@@ -73,27 +74,31 @@ class WordTable:
         """
         plain = [word for word in words if _PLAIN_WORD.fullmatch(word)]
         if len(plain) == len(words):
-            return self._encode_plain(words)
+            return self.encode_plain(words)
         others = [word for word in words if not _PLAIN_WORD.fullmatch(word)]
-        ids_of = dict(zip(others, self._encode_alone(others), strict=True))
-        ids_of.update(zip(plain, self._encode_plain(plain), strict=True))
+        ids_of = dict(zip(others, self.encode_alone(others), strict=True))
+        ids_of.update(zip(plain, self.encode_plain(plain), strict=True))
         return [ids_of[word] for word in words]
 
-    def _encode_alone(self, words: list[str]) -> list[bytes]:
+    def encode_alone(self, words: list[str]) -> list[bytes]:
+        """The ids of any stretches of text, each encoded on its own."""
+        if not words:
+            return []
         return [
             np.array(encoded.ids, dtype=ID_TYPE).tobytes()
-            for encoded in self.tokenizer.encode_batch(words, add_special_tokens=False)
+            for encoded in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         ]
 
-    def _encode_plain(self, words: list[str]) -> list[bytes]:
+    def encode_plain(self, words: list[str]) -> list[bytes]:
+        """The ids of words of plain texts, which have one word end each."""
         if not words:
             return []
-        ids = np.array(
-            self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=ID_TYPE
-        )
+        # Without offsets, which nothing here needs.
+        [encoded] = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(encoded.ids, dtype=ID_TYPE)
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) != len(words) or ends[-1] != len(ids):
-            return self._encode_alone(words)
+            return self.encode_alone(words)
         raw, bounds = ids.tobytes(), (ends * ID_TYPE.itemsize).tolist()
         return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
@@ -102,47 +107,63 @@ class TextEncoder:
     """Encodes texts one after another, with a memory of at most ``max_known`` entries.
 
     What stands between white space repeats often enough that most of a text is looked
-    up without being split into words. Once the memory is full it stays as it is, and
-    what it does not hold is encoded anew in each text.
+    up without being split into words. The memory has two generations: what is met goes to
+    the younger one, and when that holds half of the entries it takes the place of the
+    older. So frequent stretches stay, however many rare ones there are.
     """
 
-    def __init__(self, path: str, max_known: int = 1_000_000) -> None:
+    def __init__(self, path: str, max_known: int = 1_600_000) -> None:
         self._table = WordTable(path)
         self._known: dict[str, bytes] = {}
-        self._max_known = max_known
+        self._older: dict[str, bytes] = {}
+        self._max_young = max(1, max_known // 2)
 
     def encode(self, text: str) -> bytes:
-        chunks = text.lower().split() if is_plain(text) else _PIECE_OF_TEXT.findall(text)
-        known = self._known
-        try:
-            return b"".join(map(known.__getitem__, chunks))
-        except KeyError:
-            new = self._encode_new({chunk for chunk in chunks if chunk not in known}, is_plain(text))
-        if len(known) < self._max_known:
-            known.update(new)
-            return b"".join(map(known.__getitem__, chunks))
-        return b"".join([known[chunk] if chunk in known else new[chunk] for chunk in chunks])
-
-    def _encode_new(self, chunks: set[str], plain: bool) -> dict[str, bytes]:
-        """The ids of chunks that are not known, and of the words in them."""
-        known, found = self._known, {}
-        parts = []
-        words = set()
+        plain = is_plain(text)
+        chunks = text.lower().split() if plain else _PIECE_OF_TEXT.findall(text)
+        found = list(map(self._known.get, chunks))
+        if None in found:
+            places = [k for k, ids in enumerate(found) if ids is None]
+            new = self._recall({chunks[k] for k in places}, plain)
+            for k in places:
+                found[k] = new[chunks[k]]
+        return b"".join(found)
+
+    def _recall(self, chunks: set[str], plain: bool) -> dict[str, bytes]:
+        """The ids of chunks that the younger generation lacks; it holds them from now on."""
+        older = self._older
+        found = {chunk: older[chunk] for chunk in chunks if chunk in older} if older else {}
+        if len(found) < len(chunks):
+            self._encode_new(chunks - found.keys() if found else chunks, plain, found)
+        if len(self._known) + len(found) > self._max_young:
+            self._older, self._known = self._known, {}
+        if len(found) <= self._max_young:
+            self._known.update(found)
+        return found
+
+    def _encode_new(self, chunks: set[str], plain: bool, found: dict[str, bytes]) -> None:
+        """Add the ids of chunks that are not known, and of the words in them."""
+        known, older = self._known, self._older
+        parts, words, others = [], set(), []
         for chunk in chunks:
-            if not plain and not is_plain(chunk):
-                words.add(chunk)
-                continue
-            pieces = _WORD.findall(chunk if plain else chunk.lower())
-            if pieces == [chunk]:
+            if chunk.isalpha() and chunk.isascii() and (plain or chunk.islower()):
                 words.add(chunk)
+            elif plain or is_plain(chunk):
+                pieces = _WORD.findall(chunk if plain else chunk.lower())
+                if pieces == [chunk]:
+                    words.add(chunk)
+                else:
+                    parts.append((chunk, pieces))
+                    words.update(p for p in pieces if p not in known)
             else:
-                parts.append((chunk, pieces))
-                words.update(pieces)
-        words = [word for word in words if word not in known]
-        found.update(zip(words, self._table.encode(words), strict=True))
+                others.append(chunk)
+        if older:
+            found.update((word, older[word]) for word in words if word in older)
+        new = [word for word in words if word not in found]
+        found.update(zip(new, self._table.encode_plain(new), strict=True))
+        found.update(zip(others, self._table.encode_alone(others), strict=True))
         for chunk, pieces in parts:
-            found[chunk] = b"".join([known[p] if p in known else found[p] for p in pieces])
-        return found
+            found[chunk] = b"".join([found[p] if p in found else known[p] for p in pieces])
 
 
 _encoders: dict[str, TextEncoder] = {}

@@ -207,3 +207,17 @@ def test_word_numbers_round_trip(values):
     numbers = np.array(values, dtype="<u4")
     assert bpe._unpacked_numbers(bpe._packed_numbers(numbers), len(values)).tolist() == values
     assert bpe._unpacked(bpe._packed(numbers)).tolist() == values
+
+
+def test_frequent_words_stay_in_a_full_memory(tokenizer_path, tokenizer, raw):
+    """What comes again and again is asked for once, however many rare words pass by."""
+    encoder = TextEncoder(tokenizer_path, max_known=200)
+    asked = []
+    ask = encoder._table.encode_plain
+    encoder._table.encode_plain = lambda words: (asked.extend(words), ask(words))[1]
+    for k in range(60):
+        rare = "".join(chr(97 + int(d)) for d in str(1000 + k))
+        text = f"the frequent words, {rare}x {rare}y {rare}z"
+        assert encoder.encode(text) == raw(brute.tokens(tokenizer, text))
+    assert asked.count("frequent") == 1 and len(asked) == len(set(asked)) > 180
+    assert len(encoder._known) + len(encoder._older) <= 200
