@@ -209,7 +209,7 @@ def test_word_numbers_round_trip(values):
     assert bpe._unpacked(bpe._packed(numbers)).tolist() == values
 
 
-def test_frequent_words_stay_in_a_full_memory(tokenizer_path, tokenizer, raw):
+def test_frequent_words_stay_in_a_full_memory(tokenizer_path, tokenizer):
     """What comes again and again is asked for once, however many rare words pass by."""
     encoder = TextEncoder(tokenizer_path, max_known=200)
     asked = []
