@@ -34,6 +34,16 @@ JOINED = [
     "config_after",
     "scripts_after",
     "change_event_batches",
+    "sales_item_today",
+    "guide_dim",
+    "guide_dim_collated",
+    "hash_diff",
+    "config_change",
+    "tenant_defaults",
+    "active_jobs",
+    "incremental_sync",
+    "signal_semi_sales",
+    "append_once",
 ]
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="no test tables")
