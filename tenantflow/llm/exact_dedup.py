@@ -1,9 +1,9 @@
 """Exact deduplication by a tree merge of sorted digest runs.
 
 Two texts are equal when they are identical without white space (see ``normalised``).
-Every partition writes a run: the digests of its documents, sorted and with one entry
-for each digest. Runs lie in ``2 ** rounds`` slots. In each round the slots exchange
-entries with partners whose numbers differ in some bits: an entry moves to the partner
+Runs lie in slots, ``2 ** ROUND_BITS`` to the power of the rounds; a slot is a partition, and
+what lies there is sorted and has one entry for each digest. The first runs are those of the
+partitions of the input. In each round the slots exchange entries with partners whose numbers differ in some bits: an entry moves to the partner
 that has these bits as its digest does, and the runs that meet are merged. After the
 last round a slot holds all entries of its share of the digests, so no task ever sees
 more than its share, and a digest that very many documents have shrinks in every round.
@@ -51,29 +51,37 @@ def text_digests(docs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
+def _exchanged(entries: DataFrame, slots: int) -> DataFrame:
+    """Entries brought to the slots they name, and the sorted runs that meet there merged.
+
+    A slot is a partition. Entries come sorted, so the merge is one pass over them.
+    """
+    key = ["slot", "digest", "n_norm", "second"]
+    brought = entries.repartitionById(slots, F.col("slot")).sortWithinPartitions(*key)
+    return brought.groupBy(*key).agg(F.min("best").alias("best"), F.sum("n").alias("n"))
+
+
 def merge_runs(digests: DataFrame, slots: int) -> DataFrame:
     """One entry for each digest: the identifier that stays (``best``) and ``n`` rows.
 
     ``slots`` is rounded up to whole rounds.
     """
     rounds = max(1, -(-(slots - 1).bit_length() // ROUND_BITS))
+    slots = 1 << (rounds * ROUND_BITS)
     entries = digests.select(
-        F.pmod(F.spark_partition_id(), F.lit(1 << (rounds * ROUND_BITS))).alias("slot"),
+        F.pmod(F.spark_partition_id(), F.lit(slots)).alias("slot"),
         "digest",
         "n_norm",
         "second",
         _identifier(F.col("doc_id"), F.col("n_chars")).alias("best"),
         F.lit(1).cast("long").alias("n"),
     )
+    entries = _exchanged(entries, slots)  # the first runs, one for each slot
     of_digest = F.crc32(F.col("digest"))
     for number in range(rounds):
         settled = ((1 << ROUND_BITS) - 1) << (number * ROUND_BITS)
         partner = F.col("slot").bitwiseAND(~settled).bitwiseOR(of_digest.bitwiseAND(settled))
-        entries = (
-            entries.withColumn("slot", partner)
-            .groupBy("slot", "digest", "n_norm", "second")
-            .agg(F.min("best").alias("best"), F.sum("n").alias("n"))
-        )
+        entries = _exchanged(entries.withColumn("slot", partner.cast("int")), slots)
     return entries.drop("slot")
 
 

@@ -11,6 +11,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tenantflow.llm import embeddings, exact_dedup, minhash
 from tenantflow.llm.components import connected_components
@@ -56,6 +57,21 @@ def test_merge_rounds_do_not_depend_on_slots(spark, slots):
     assert {(r.best.doc_id, r.n) for r in merged} == wanted and len(merged) == len(wanted)
 
 
+@pytest.mark.parametrize("slots, rounds", [(1, 1), (8, 1), (9, 2), (500, 3)])
+def test_runs_lie_in_slots_and_move_to_partners_only(spark, slots, rounds):
+    docs = spark.createDataFrame([(k, f"t{k % 50}") for k in range(400)], "doc_id long, text string").repartition(5)
+    merged = exact_dedup.merge_runs(exact_dedup.text_digests(docs), slots)
+    plan = merged._jdf.queryExecution().executedPlan().toString().lower()
+    # One exchange by slot for the first runs and for each round, and none by digest.
+    assert plan.count("exchange shufflepartitionidpassthrough") == rounds + 1
+    assert "hashpartitioning" not in plan and plan.count("exchange ") == rounds + 2  # and the test's own
+    assert merged.count() == 50
+    # At the end a slot holds the digests whose bits are its number, and no other.
+    placed = merged.select(F.spark_partition_id().alias("p"), (F.crc32("digest") % 8**rounds).alias("bits"))
+    with_slots = placed.distinct().collect()
+    assert all(r.p == r.bits for r in with_slots)
+
+
 def check_near(rows, found):
     wanted = brute.near_groups(rows)
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == wanted
