@@ -8,13 +8,16 @@ vectors whose boxes on the leading principal directions are further apart have n
 2. The principal directions come from a bounded sample (``sample_rows``); they decide how
    much is skipped, not what is found.
 3. Nodes are sorted by their grid cells on these directions, in lexicographic order, by
-   one range shuffle, and cut into blocks of ``block_rows``, each with its box.
+   one range shuffle, and cut into blocks of ``block_rows`` (by default 8 MiB of vectors),
+   each with its box. Blocks go on across the ends of partitions, so their number follows
+   from the rows alone.
 4. The sequence is joined with itself recursively: pairs of intervals whose boxes are more
    than epsilon apart are dropped, the others are cut into ``FAN_OUT`` parts each, down to
    pairs of blocks. Boxes meet in equi-joins on the interval; each level is a small table.
 5. A pair of blocks is one unit of work of bounded size, in which the recursion goes on by
-   halves. Cosines are computed in double precision. What leaves a unit is a number of
-   links per node and a spanning forest, not the links themselves.
+   halves. Cosines are computed in double precision. Links are added up and folded into a
+   spanning forest as they are found, so a unit's memory does not depend on their number;
+   what leaves it is a number of links per node and the forest.
 
 All links are found; none is below ``c``. Vectors of different lengths have no cosine and
 are joined separately.
@@ -44,6 +47,7 @@ from tenantflow.session import staged
 FAN_OUT = 8
 _LEAF_ROWS = 256
 _SAMPLE_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
 #: More than the rounding errors of box distances.
 _SLACK = 1e-9
 
@@ -103,20 +107,28 @@ def _principal_directions(nodes: DataFrame, dims: int, n: int, wanted: int, samp
     return np.ascontiguousarray(directions[:, ::-1][:, :wanted])
 
 
-def _blocks(nodes: DataFrame, directions: np.ndarray, cell: float, block_rows: int) -> DataFrame:
-    """Blocks of nodes in epsilon grid order, numbered in that order."""
-    spark = nodes.sparkSession
+_BLOCK = T.StructType(
+    [
+        T.StructField("block", T.LongType()),
+        T.StructField("low", T.ArrayType(T.DoubleType())),
+        T.StructField("high", T.ArrayType(T.DoubleType())),
+        T.StructField("nodes", T.BinaryType()),
+        T.StructField("weights", T.BinaryType()),
+        T.StructField("vectors", T.BinaryType()),
+    ]
+)
+
+
+def _runs(nodes: DataFrame, n: int, directions: np.ndarray, cell: float, block_rows: int) -> DataFrame:
+    """The nodes in epsilon grid order, as runs of ``block_rows``; the last of a task is shorter."""
     with_cells = T.StructType(nodes.schema.fields + [T.StructField("cells", T.ArrayType(T.IntegerType()))])
     cells_arrow = to_arrow_schema(with_cells)
     schema = T.StructType(
         [
             T.StructField("part", T.LongType()),
             T.StructField("in_part", T.LongType()),
-            T.StructField("low", T.ArrayType(T.DoubleType())),
-            T.StructField("high", T.ArrayType(T.DoubleType())),
-            T.StructField("nodes", T.BinaryType()),
-            T.StructField("weights", T.BinaryType()),
-            T.StructField("vectors", T.BinaryType()),
+            T.StructField("rows", T.LongType()),
+            *_BLOCK.fields[3:],
         ]
     )
     arrow = to_arrow_schema(schema)
@@ -131,39 +143,59 @@ def _blocks(nodes: DataFrame, directions: np.ndarray, cell: float, block_rows: i
         part, number = TaskContext.get().partitionId(), 0
         rows: list[tuple] = []
 
-        def block(chosen: list[tuple]) -> pa.RecordBatch:
-            vectors = _matrix([r[2] for r in chosen])
-            places = vectors @ directions
-            row = (
-                part,
-                number,
-                places.min(axis=0).tolist(),
-                places.max(axis=0).tolist(),
-                np.array([r[0] for r in chosen], np.int64).tobytes(),
-                np.array([r[1] for r in chosen], np.int64).tobytes(),
-                vectors.tobytes(),
-            )
+        def run(chosen: list[tuple]) -> pa.RecordBatch:
+            ints = [np.array([r[k] for r in chosen], np.int64).tobytes() for k in (0, 1)]
+            row = (part, number, len(chosen), *ints, b"".join(r[2] for r in chosen))
             return record_batch(arrow, [[value] for value in row])
 
         for batch in batches:
             rows += zip(*(batch.column(k).to_pylist() for k in range(3)))
             while len(rows) >= block_rows:
-                yield block(rows[:block_rows])
+                yield run(rows[:block_rows])
                 rows, number = rows[block_rows:], number + 1
         if rows:
-            yield block(rows)
+            yield run(rows)
 
-    n_parts = max(1, min(parallelism(spark), -(-nodes.count() // block_rows)))
+    n_parts = max(1, min(parallelism(nodes.sparkSession), -(-n // block_rows)))
     ordered = nodes.mapInArrow(add_cells, with_cells)
     ordered = ordered.repartitionByRange(n_parts, "cells", "node").sortWithinPartitions("cells", "node")
-    blocks = staged(ordered.mapInArrow(cut, schema), "vector-blocks")
-    counts = blocks.groupBy("part").count().orderBy("part").collect()  # a row for each task
+    return staged(ordered.mapInArrow(cut, schema), "vector-runs")
+
+
+def _blocks(nodes: DataFrame, n: int, directions: np.ndarray, cell: float, block_rows: int) -> DataFrame:
+    """Blocks of nodes in epsilon grid order, numbered in that order."""
+    spark = nodes.sparkSession
+    runs = _runs(nodes, n, directions, cell, block_rows)
+    counts = runs.groupBy("part").agg(F.sum("rows").alias("rows")).orderBy("part").collect()  # a row for each task
     firsts, first = [], 0
     for row in counts:
         firsts.append((row.part, first))
-        first += row["count"]
+        first += row["rows"]
     parts = spark.createDataFrame(firsts, "part long, first long")
-    return blocks.join(F.broadcast(parts), "part").withColumn("block", F.col("first") + F.col("in_part"))
+    start = F.col("first") + F.col("in_part") * block_rows
+    placed = runs.join(F.broadcast(parts), "part").withColumn("start", start)
+    size = F.lit(block_rows)
+    of_run = F.sequence(F.floor(F.col("start") / size), F.floor((F.col("start") + F.col("rows") - 1) / size))
+    begin = F.greatest(F.lit(0), F.col("block") * size - F.col("start"))
+    end = F.least("rows", (F.col("block") + 1) * size - F.col("start"))
+
+    def part_of(column: str, width: int) -> Column:
+        return F.substring(column, (begin * width + 1).cast("int"), ((end - begin) * width).cast("int")).alias(column)
+
+    pieces = placed.withColumn("block", F.explode(of_run)).select(
+        "block", "start", part_of("nodes", 8), part_of("weights", 8), part_of("vectors", 8 * len(directions))
+    )
+    arrow = to_arrow_schema(_BLOCK)
+
+    def unite(table: pa.Table) -> pa.Table:
+        table = table.sort_by("start")
+        raw = [b"".join(table[c].to_pylist()) for c in ("nodes", "weights", "vectors")]
+        places = np.frombuffer(raw[2], np.float64).reshape(-1, len(directions)) @ directions
+        box = (places.min(axis=0).tolist(), places.max(axis=0).tolist())
+        row = (table["block"][0].as_py(), *box, *raw)
+        return pa.Table.from_batches([record_batch(arrow, [[value] for value in row])])
+
+    return staged(pieces.groupBy("block").applyInArrow(unite, _BLOCK), "vector-blocks")
 
 
 def _distance(a: str, b: str) -> Column:
@@ -214,12 +246,44 @@ _FOUND = T.StructType(
 )
 
 
+class _Forest:
+    """A spanning forest over places that are numbered from 0; roots are the smallest."""
+
+    def __init__(self, n: int) -> None:
+        self.parent = np.arange(n)
+
+    def roots(self, places: np.ndarray) -> np.ndarray:
+        while True:
+            above = self.parent[places]
+            if (above == places).all():
+                return places
+            places = above
+
+    def link(self, i: np.ndarray, j: np.ndarray) -> None:
+        while True:
+            root_i, root_j = self.roots(i), self.roots(j)
+            self.parent[i], self.parent[j] = root_i, root_j
+            apart = root_i != root_j
+            if not apart.any():
+                return
+            i, j = root_i[apart], root_j[apart]
+            np.minimum.at(self.parent, np.maximum(i, j), np.minimum(i, j))
+
+
 def _links_of_blocks(
-    a: np.ndarray, b: np.ndarray, same: bool, cosine: float, directions: np.ndarray, epsilon: float
+    a: np.ndarray,
+    b: np.ndarray,
+    weights: tuple[np.ndarray, np.ndarray],
+    same: bool,
+    cosine: float,
+    directions: np.ndarray,
+    epsilon: float,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Places (i in a, j in b) of all linked vectors; each link once where a is b."""
+    """For all places of ``a``, then of ``b`` if another: number of links, and root."""
     place_a, place_b = a @ directions, b @ directions
-    found: list[tuple[np.ndarray, np.ndarray]] = []
+    shift = 0 if same else len(a)
+    links = np.zeros(len(a) if same else len(a) + len(b), np.int64)
+    forest = _Forest(len(links))
 
     def join(a0: int, a1: int, b0: int, b1: int) -> None:
         if same and b1 <= a0:
@@ -231,11 +295,14 @@ def _links_of_blocks(
         if (np.maximum(gap, 0) ** 2).sum() > epsilon**2 + _SLACK:
             return
         if max(a1 - a0, b1 - b0) <= _LEAF_ROWS:
-            i, j = np.nonzero(a[a0:a1] @ b[b0:b1].T >= cosine)
-            i, j = i + a0, j + b0
-            if same:
-                i, j = i[i < j], j[i < j]
-            found.append((i, j))
+            near = a[a0:a1] @ b[b0:b1].T >= cosine
+            if same and a1 > b0:  # each link once
+                near &= np.arange(a0, a1)[:, None] < np.arange(b0, b1)
+            i, j = np.nonzero(near)
+            if len(i):
+                links[a0:a1] += near @ weights[1][b0:b1]
+                links[b0 + shift : b1 + shift] += weights[0][a0:a1] @ near
+                forest.link(i + a0, j + b0 + shift)
             return
         a_mid = (a0 + a1) // 2 if a1 - a0 > _LEAF_ROWS else a1
         b_mid = (b0 + b1) // 2 if b1 - b0 > _LEAF_ROWS else b1
@@ -245,9 +312,7 @@ def _links_of_blocks(
                     join(x0, x1, y0, y1)
 
     join(0, len(a), 0, len(b))
-    if not found:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+    return links, forest.roots(np.arange(len(links)))
 
 
 def _join_blocks(
@@ -256,52 +321,33 @@ def _join_blocks(
     """Per pair of blocks and node with links: their number, and a node of its component."""
     arrow = to_arrow_schema(_FOUND)
 
-    def side(name: str) -> DataFrame:
-        columns = ("nodes", "weights", "vectors")
-        return blocks.select(F.col("block").alias(name), *(F.col(c).alias(f"{name}_{c}") for c in columns))
-
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                pair = [batch.column(c)[k] for c in range(8)]
-                same = pair[0].as_py() == pair[1].as_py()
-                ints = [np.frombuffer(pair[c].as_buffer(), np.int64) for c in (2, 3, 5, 6)]
-                a, b = (np.frombuffer(pair[c].as_buffer(), np.float64) for c in (4, 7))
-                a, b = a.reshape(len(ints[0]), -1), b.reshape(len(ints[2]), -1)
-                i, j = _links_of_blocks(a, b, same, cosine, directions, epsilon)
-                if len(i):
-                    yield summary(ints, i, j, same)
-
-    def summary(ints: list[np.ndarray], i: np.ndarray, j: np.ndarray, same: bool) -> pa.RecordBatch:
-        nodes_a, weights_a, nodes_b, weights_b = ints
+    def join(table: pa.Table) -> pa.Table:
+        table = table.sort_by("block")  # one row where a block meets itself
+        columns = (("nodes", np.int64), ("weights", np.int64), ("vectors", np.float64))
+        sides = [
+            [np.frombuffer(table[c][k].as_buffer(), kind) for c, kind in columns] for k in (0, table.num_rows - 1)
+        ]
+        (nodes_a, weights_a, a), (nodes_b, weights_b, b) = sides
+        same = table.num_rows == 1
+        a, b = a.reshape(len(nodes_a), -1), b.reshape(len(nodes_b), -1)
+        links, roots = _links_of_blocks(a, b, (weights_a, weights_b), same, cosine, directions, epsilon)
         nodes = nodes_a if same else np.concatenate([nodes_a, nodes_b])
-        far = j if same else j + len(nodes_a)
-        links = np.zeros(len(nodes), np.int64)
-        np.add.at(links, i, weights_b[j])
-        np.add.at(links, far, weights_a[i])
-        label = np.arange(len(nodes))
-        while True:  # the smallest place that is reached
-            before = label.copy()
-            least = np.minimum(label[i], label[far])
-            np.minimum.at(label, i, least)
-            np.minimum.at(label, far, least)
-            label = label[label]
-            if (label == before).all():
-                break
         chosen = np.flatnonzero(links)
-        return record_batch(arrow, [nodes[chosen], links[chosen], nodes[label[chosen]]])
+        return pa.Table.from_batches([record_batch(arrow, [nodes[chosen], links[chosen], nodes[roots[chosen]]])])
 
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "a_nodes", "a_weights", "a_vectors", "b_nodes", "b_weights", "b_vectors"
-    )
-    return joined.mapInArrow(join, _FOUND)
+    n_tasks = max(1, min(parallelism(blocks.sparkSession), pairs.count()))
+    number = F.expr("b * (b + 1) div 2 + a")  # no two pairs have the same
+    task = F.pmod(number, F.lit(n_tasks)).cast("int").alias("task")
+    ends = pairs.select("a", "b", task, F.explode(F.array_distinct(F.array("a", "b"))).alias("block"))
+    dealt = ends.join(blocks.drop("low", "high"), "block").repartitionById(n_tasks, F.col("task"))
+    return dealt.groupBy("task", "a", "b").applyInArrow(join, _FOUND)
 
 
 def similar_vectors(
     embeddings: DataFrame,
     cosine: float = 0.95,
     grid_dims: int = 8,
-    block_rows: int = 2048,
+    block_rows: int | None = None,
     sample_rows: int = 20_000,
 ) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept."""
@@ -315,8 +361,9 @@ def similar_vectors(
     for row in nodes.groupBy("dims").count().orderBy("dims").collect():  # one for each length in use
         own = nodes.where(F.col("dims") == row.dims).select("node", "weight", "vector")
         directions = _principal_directions(own, row.dims, row["count"], min(grid_dims, row.dims), sample_rows)
-        blocks = _blocks(own, directions, epsilon, block_rows)
-        pairs = _block_pairs(blocks, blocks.count(), epsilon)
+        size = block_rows or max(1, BLOCK_BYTES // (8 * row.dims))
+        blocks = _blocks(own, row["count"], directions, epsilon, size)
+        pairs = _block_pairs(blocks, -(-row["count"] // size), epsilon)
         found = found.union(_join_blocks(blocks, pairs, directions, cosine, epsilon))
     found = staged(found, "vector-links")
 

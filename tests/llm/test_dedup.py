@@ -205,7 +205,7 @@ def clusters(seed, dims=12):
     return rows
 
 
-@pytest.mark.parametrize("block_rows", [2048, 7])
+@pytest.mark.parametrize("block_rows", [None, 50, 7])
 def test_vectors(spark, block_rows):
     rows = clusters(1)
     rows += [None, [], [0.0] * 12, [1.0] * 11 + [None], [float("nan")] + [1.0] * 11, [float("inf")] * 12]
@@ -226,3 +226,37 @@ def test_vectors_repeated_and_empty(spark):
     found = sorted((str(r.vec_id), r.n_links, r.component_id, r.kept) for r in embeddings.similar_vectors(frame).collect())
     assert found == [("1", 0, 1, True), ("2", 2, 2, True), ("2", 2, 2, True), ("None", 2, 2, False)]
     assert embeddings.similar_vectors(frame.limit(0)).collect() == []
+
+
+def test_many_partitions_do_not_make_more_blocks(spark):
+    rng = np.random.default_rng(3)
+    nodes = [(i, 1, v.tobytes()) for i, v in enumerate(rng.normal(size=(300, 3)))]
+    frame = spark.createDataFrame(nodes, "node long, weight long, vector binary")
+    spark.conf.set("spark.sql.shuffle.partitions", "37")
+    try:
+        blocks = embeddings._blocks(frame, len(nodes), np.eye(3)[:, :2], 0.3, 32).orderBy("block").collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert [(r.block, len(r.nodes) // 8) for r in blocks] == [*((k, 32) for k in range(9)), (9, 12)]
+    ids = np.concatenate([np.frombuffer(r.nodes, np.int64) for r in blocks])
+    vectors = np.concatenate([np.frombuffer(r.vectors, np.float64).reshape(-1, 3) for r in blocks])
+    assert all((vectors[k] == np.frombuffer(nodes[i][2])).all() for k, i in enumerate(ids))
+    cells = [tuple(np.floor(v[:2] / 0.3)) + (i,) for i, v in zip(ids, vectors)]
+    assert sorted(ids) == list(range(300)) and cells == sorted(cells)
+
+
+def test_links_of_a_dense_block_fold_into_a_forest():
+    rng = np.random.default_rng(4)
+    a = np.repeat(rng.normal(size=(3, 5)), 300, axis=0)[rng.permutation(900)]
+    a /= np.linalg.norm(a, axis=1)[:, None]
+    weights = rng.integers(1, 4, 900)
+    near = a @ a.T >= 0.95
+    np.fill_diagonal(near, False)
+    links, roots = embeddings._links_of_blocks(a, a, (weights, weights), True, 0.95, np.eye(5)[:, :2], 0.4)
+    assert (links == near @ weights).all()
+    assert (roots == [min(np.flatnonzero(row).min(initial=k), k) for k, row in enumerate(near)]).all()
+    b = a[:400]
+    links, roots = embeddings._links_of_blocks(a, b, (weights, weights[:400]), False, 0.95, np.eye(5)[:, :2], 0.4)
+    met = a @ b.T >= 0.95
+    assert (links == np.concatenate([met @ weights[:400], weights @ met])).all()
+    assert all(roots[i] == roots[900 + j] for i, j in zip(*np.nonzero(met)))
