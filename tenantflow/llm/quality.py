@@ -1,8 +1,11 @@
 """A quality classifier: gradient-boosted trees on histograms of document statistics.
 
-``fit_quality`` learns from a bounded sample of labelled documents (``max_rows``, chosen by
-a hash of the doc_id). Values are cut into at most 64 bins by quantiles; every tree is
-grown level by level, each split chosen from histograms of gradients. All trees are
+``fit_quality`` learns from a bounded sample of labelled documents (``max_rows``): up to half
+of it from each label, drawn by a hash of the doc_id and then of the statistics, so that a
+rare label is learned and an often repeated id brings no more rows. Equal rows count as one
+with a weight, and both labels weigh the same: a score of 0.5 means that a document is as
+typical of one as of the other. Values are cut into at most 64 bins by the quantiles and ends
+of each label; every tree is grown level by level, each split chosen from histograms of gradients. All trees are
 complete, so a model is three arrays, and scoring walks all documents of a batch through
 a tree at once. Statistics are computed from whole texts; language, source and ids take no
 part.
@@ -28,6 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tenantflow.llm.inputs import record_batch, texts_of
+from tenantflow.session import staged
 
 _BYTE_CLASS = np.full(256, 7)
 for _number, _bytes in enumerate(
@@ -116,9 +120,18 @@ class TreeEnsemble:
         return 1 / (1 + np.exp(-total))
 
 
+def _edges(values: np.ndarray, labels: np.ndarray, n_bins: int) -> np.ndarray:
+    """Fewer than ``n_bins`` places to cut at: inner quantiles and ends of each label."""
+    inner = np.linspace(0, 1, n_bins // 2 - 1)[1:-1]
+    own = [values[labels == label] for label in (0, 1)]
+    ends = [end for of in own for end in (np.nextafter(of.min(), -np.inf), of.max())]
+    return np.unique(np.concatenate([*(np.quantile(of, inner) for of in own), ends]))
+
+
 def fit_trees(
     values: np.ndarray,
     labels: np.ndarray,
+    weights: np.ndarray | None = None,
     n_trees: int = 120,
     depth: int = 5,
     rate: float = 0.1,
@@ -129,12 +142,13 @@ def fit_trees(
     """Boosted trees for the logistic loss, grown on histograms."""
     inner = (1 << depth) - 1
     empty = np.zeros((0, inner), dtype=np.int64), np.zeros((0, inner)), np.zeros((0, inner + 1))
-    share = float(labels.mean()) if len(labels) else 0.5
+    weights = np.ones(len(labels)) if weights is None else weights
+    share = float(np.average(labels, weights=weights)) if len(labels) else 0.5
     if share in (0.0, 1.0) or not len(labels):
         share = min(max(share, 0.01), 0.99)
         return TreeEnsemble(float(np.log(share / (1 - share))), *empty)
     n, width = values.shape
-    edges = [np.unique(np.quantile(values[:, k], np.linspace(0, 1, n_bins)[1:-1])) for k in range(width)]
+    edges = [_edges(values[:, k], labels, n_bins) for k in range(width)]
     binned = np.stack([np.searchsorted(e, values[:, k]) for k, e in enumerate(edges)], axis=1)
     flat = binned + np.arange(width) * n_bins
     base = float(np.log(share / (1 - share)))
@@ -144,7 +158,7 @@ def fit_trees(
     leaves = np.zeros((n_trees, inner + 1))
     for tree in range(n_trees):
         chance = 1 / (1 + np.exp(-total))
-        slope, bend = chance - labels, chance * (1 - chance)
+        slope, bend = weights * (chance - labels), weights * chance * (1 - chance)
         node = np.zeros(n, dtype=np.int64)
         for level in range(depth):
             first, n_nodes = (1 << level) - 1, 1 << level
@@ -175,30 +189,56 @@ def is_held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(crc % folds == 0, F.lit(False))
 
 
+def _draw(rows: DataFrame, per_label: int, *key: str) -> DataFrame:
+    """At most ``per_label`` rows of each label, those with the smallest hash of ``key``."""
+    counts = {row.quality: row["count"] for row in rows.groupBy("quality").count().collect()}  # two rows
+
+    def of_label(label: int) -> DataFrame:
+        own, n = rows.where(F.col("quality") == label), counts.get(label, 0)
+        if n <= per_label:
+            return own
+        place = F.pmod(F.xxhash64(*key), F.lit(1 << 40))
+        few = own.where(place < (per_label << 41) // n)  # about twice as many as wanted
+        return few.orderBy(place, *key).limit(per_label)
+
+    return of_label(0).union(of_label(1))
+
+
 def fit_quality(docs: DataFrame, labels: DataFrame, max_rows: int = 20_000) -> TreeEnsemble:
-    """Learn ``quality`` from rows that are not held out, about ``max_rows`` at most."""
+    """Learn ``quality`` from rows that are not held out, ``max_rows`` different ones at most."""
+    per_label = max(1, max_rows // 2)
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(
         F.col("quality").isin(0, 1) & ~is_held_out()
     )
-    n = usable.count()
-    scale = 1 << 20
-    bound = scale * max_rows // max(n, 1)
-    chosen = usable.where(F.pmod(F.xxhash64("doc_id"), F.lit(scale)) < bound)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "text")
+    usable = usable.groupBy("doc_id", "quality").agg(F.count("*").alias("times"))
+    usable = staged(usable.join(docs.select("doc_id"), "doc_id", "left_semi"), "labelled-ids")
+    chosen = _draw(usable, per_label, "doc_id")  # max_rows at most
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("quality", "times", "text")
     schema = T.StructType(
-        [T.StructField("quality", T.IntegerType()), T.StructField("statistics", T.ArrayType(T.DoubleType()))]
+        [
+            T.StructField("quality", T.IntegerType()),
+            T.StructField("times", T.LongType()),
+            T.StructField("statistics", T.ArrayType(T.DoubleType())),
+        ]
     )
     arrow = to_arrow_schema(schema)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield record_batch(arrow, [batch.column(0), statistics_of(texts_of(batch.column(1))).tolist()])
+            statistics = statistics_of(texts_of(batch.column(2))).tolist()
+            yield record_batch(arrow, [batch.column(0), batch.column(1), statistics])
 
-    rows = texts.mapInArrow(measure, schema).toArrow()  # about max_rows of them
+    measured = texts.mapInArrow(measure, schema).groupBy("quality", "statistics").agg(F.sum("times").alias("times"))
+    rows = _draw(staged(measured, "labelled-statistics"), per_label, "statistics").toArrow()  # max_rows at most
     values = np.array(rows["statistics"].to_pylist(), dtype=np.float64).reshape(-1, N_STATISTICS)
     labels_of = np.array(rows["quality"].to_pylist(), dtype=np.float64)
+    times = np.array(rows["times"].to_pylist(), dtype=np.float64)
+    for label in (0, 1):  # both weigh the same, together as much as all rows
+        of_label = labels_of == label
+        if of_label.any() and not of_label.all():
+            times[of_label] *= len(times) / 2 / times[of_label].sum()
     order = np.lexsort((*values.T, labels_of))  # the same model whatever the order of rows
-    return fit_trees(values[order], labels_of[order])
+    return fit_trees(values[order], labels_of[order], times[order])
 
 
 def score_documents(docs: DataFrame, model: TreeEnsemble, threshold: float = 0.3) -> DataFrame:

@@ -40,6 +40,34 @@ def test_the_training_bound_holds_and_the_model_is_stable(spark):
     assert (one.leaves == two.leaves).all() and (one.limits == two.limits).all()
 
 
+def test_a_repeated_id_does_not_break_the_bound(spark, monkeypatch):
+    """One labelled id on 3,000 different documents, and on 3,000 copies of one."""
+    learned = []
+    fit = quality.fit_trees
+    monkeypatch.setattr(quality, "fit_trees", lambda v, y, w: learned.append((len(v), w.sum())) or fit(v, y, w))
+    docs = [(2, f"{'word ' * (k % 40)}{'x' * k}") for k in range(3000)] + [(3, "the same text")] * 3000 + [(4, "?! ?!")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(2, 1), (3, 0), (4, 0), (4, 0), (77, 1)], "doc_id long, quality int")
+    assert not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in (2, 3, 4))
+    quality.fit_quality(frame, labels, max_rows=10)
+    quality.fit_quality(frame, labels)
+    assert learned[0] == (7, 7) and learned[1][0] > 2000
+
+
+def test_one_bad_document_in_ten_thousand_is_learned(spark):
+    rng = np.random.default_rng(8)
+    words = np.array("plain words of a clean text about many things and their uses".split())
+    docs = [(i, " ".join(rng.choice(words, 12 + i % 30)).capitalize() + ".") for i in range(12_500)]
+    bad = next(i for i in range(100, 200) if zlib.crc32(str(i).encode()) % 5)
+    docs[bad] = (bad, "$$$ !!! " * 20)
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i != bad)) for i, _ in docs], "doc_id long, quality int")
+    for max_rows in (20_000, 1000):
+        model = quality.fit_quality(frame, labels, max_rows)
+        new = spark.createDataFrame([(1, "$$$ !!! " * 21), (2, docs[7][1])], "doc_id long, text string")
+        assert [r.predicted for r in quality.score_documents(new, model).orderBy("doc_id").collect()] == [0, 1]
+
+
 def test_labels_lang_source_and_id_do_not_matter(spark):
     docs, labels = (spark.read.parquet(f"{FOLDER}/{t}.parquet") for t in ("documents", "labels"))
     model = quality.fit_quality(docs, labels)
