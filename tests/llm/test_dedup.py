@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tenantflow.llm import embeddings, exact_dedup, minhash
+from tenantflow.llm import components, embeddings, exact_dedup, minhash
 from tenantflow.llm.components import connected_components
 
 FOLDER = "/root/testdata/sf0.01"
@@ -194,6 +194,21 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
 
 
+def test_links_of_a_hub_stay_where_they_are(spark):
+    """The join of the hub's links is a broadcast of its one row, however large the rest is."""
+    links = spark.range(1, 5000).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("v"))
+    chain = spark.range(6000, 9000).select((F.col("id") + 1).alias("u"), F.col("id").alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = connected_components(links.union(chain))
+        assert found.groupBy("root").count().orderBy("root").collect() == [(0, 4999), (6000, 3000)]
+        hub = links.select(F.col("v").alias("u"), F.col("u").alias("v"))
+        plan = components._to_smallest(hub, 4999)._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" in plan and components._to_smallest(hub, 4999).where("m <> 0").isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def clusters(seed, dims=12):
     rng = np.random.default_rng(seed)
     rows = []
