@@ -196,7 +196,7 @@ def test_components(spark):
 
 def test_links_of_a_hub_stay_where_they_are(spark):
     """The join of the hub's links is a broadcast of its one row, however large the rest is."""
-    links = spark.range(1, 5000).select(F.col("id").alias("u"), F.lit(0).cast("long").alias("v"))
+    links = spark.range(1, 5000).select(F.col("id").alias("u"), (F.col("id") % 1).alias("v"))
     chain = spark.range(6000, 9000).select((F.col("id") + 1).alias("u"), F.col("id").alias("v"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
