@@ -29,7 +29,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tenantflow.llm.inputs import record_batch, texts_of
-from tenantflow.llm.wordcodes import ID_TYPE, shared_encoder
+from tenantflow.llm.wordcodes import ID_TYPE, MAX_KNOWN, shared_encoder
 
 #: Sequence numbers of a task start at its partition number shifted by this.
 _TASK_SHIFT = 36
@@ -172,10 +172,12 @@ def pack_documents(
     window: int = 4096,
     max_open: int = 1024,
     with_ids: bool = False,
+    max_known: int = MAX_KNOWN,
 ) -> DataFrame:
     """Pack ``docs`` (doc_id, text) into sequences of at most ``window`` tokens.
 
     ``with_ids`` adds the tokens of each piece as raw little-endian 32-bit integers.
+    ``max_known`` bounds the words that a worker remembers; ids do not depend on it.
     """
     id_field = docs.select(F.col("doc_id")).schema.fields[0]
     schema = T.StructType(
@@ -193,7 +195,7 @@ def pack_documents(
     arrow = to_arrow_schema(schema)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared_encoder(tokenizer)
+        encoder = shared_encoder(tokenizer, max_known)
         end = np.array([end_id], dtype=ID_TYPE).tobytes()
         packer = Packer(window, max_open)
         sequence = TaskContext.get().partitionId() << _TASK_SHIFT

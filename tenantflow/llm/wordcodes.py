@@ -103,6 +103,10 @@ class WordTable:
         return [raw[a:b] for a, b in zip([0, *bounds], bounds)]
 
 
+#: Entries of a text encoder; a million take some 200 MB.
+MAX_KNOWN = 1_600_000
+
+
 class TextEncoder:
     """Encodes texts one after another, with a memory of at most ``max_known`` entries.
 
@@ -112,7 +116,7 @@ class TextEncoder:
     older. So frequent stretches stay, however many rare ones there are.
     """
 
-    def __init__(self, path: str, max_known: int = 1_600_000) -> None:
+    def __init__(self, path: str, max_known: int = MAX_KNOWN) -> None:
         self._table = WordTable(path)
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -166,11 +170,12 @@ class TextEncoder:
             found[chunk] = b"".join([found[p] if p in found else known[p] for p in pieces])
 
 
-_encoders: dict[str, TextEncoder] = {}
+_encoders: dict[tuple[str, int], TextEncoder] = {}
 
 
-def shared_encoder(path: str) -> TextEncoder:
+def shared_encoder(path: str, max_known: int = MAX_KNOWN) -> TextEncoder:
     """One encoder for each Python worker, so that its memory serves many tasks."""
-    if path not in _encoders:
-        _encoders[path] = TextEncoder(path)
-    return _encoders[path]
+    key = (path, max_known)
+    if key not in _encoders:
+        _encoders[key] = TextEncoder(path, max_known)
+    return _encoders[key]
