@@ -15,6 +15,9 @@ from tenantflow.llm.inputs import default_tokenizer, read_table
 from tenantflow.llm.queries import ship_package
 from tenantflow.session import staged
 
+#: Words that a worker of the last stage remembers; the workers of the other stages live beside it.
+PACK_WORDS = 400_000
+
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject. It learns from the table of labels."""
@@ -43,7 +46,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents in sequences, with their tokens."""
     ship_package(spark)
-    return packing.pack_documents(docs, default_tokenizer(), with_ids=True)
+    return packing.pack_documents(docs, default_tokenizer(), with_ids=True, max_known=PACK_WORDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
