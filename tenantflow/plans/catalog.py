@@ -183,7 +183,8 @@ def refreshed_totals(m: RetailModel, level: str) -> DayTotals:
     Every seventh order had other amounts at first, every fifth comes late, every eleventh
     is withdrawn.
     """
-    sales = staged(extracts.prt_sales_load(m.staged_sales()), "sales")
+    loaded = extracts.prt_sales_load(m.staged_sales()).select(*facts.GUIDE_DAY, "order_no", *facts.AMOUNTS)
+    sales = staged(loaded, "sales")
     number = F.col("order_no").cast("long")
     older = sales.withColumns({a: (F.col(a) * 2 + 1).cast(sales.schema[a].dataType) for a in facts.AMOUNTS})
     late, wrong, withdrawn = number % 5 == 0, number % 7 == 0, number % 11 == 0

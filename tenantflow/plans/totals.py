@@ -19,45 +19,57 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tenantflow.operators.lookups import lookup_join
+from tenantflow.operators.lookups import fits_broadcast, hot_key_hashes, lookup_join, reads_little
 from tenantflow.plans.facts import AMOUNTS, GUIDE_DAY, SHOP_DAY
-from tenantflow.session import is_written, new_location, path_exists, remove_folder, staged_at
-from tenantflow.sinks.tables import replace_partitions, text_partitions
+from tenantflow.session import is_written, new_location, path_exists, remove_folder, staged, staged_at
+from tenantflow.sinks.tables import replace_dealt as replace_partitions
+from tenantflow.sinks.tables import text_partitions
 
 #: Folders: the tenant and the first digits of the day.
 FOLDER = ("org_code", "period")
 LEVELS = {"shop_day": SHOP_DAY, "guide_day": GUIDE_DAY}
 
+#: Rows that a task adds up, about. Folders with more are dealt by a hash of the keys.
+PART_ROWS = 200_000
+
 _KNOWN = tuple(f"{a}_known" for a in AMOUNTS)
 _ADDED = ("row_count", "order_count", *AMOUNTS, *_KNOWN)
 _SUM = T.DecimalType(38, 2)
 
 
 def day_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """What to add to the totals by ``keys`` so that ``before`` becomes ``after``."""
+    """What to add to the totals by ``keys`` so that ``before`` becomes ``after``.
+
+    Rows are brought together by ``keys`` once, and both steps are taken there: first one row
+    for each order, then one for each key. Where a key holds a large part of all rows, they are
+    reduced before each of two shuffles instead.
+    """
 
     def signed(sales: DataFrame, sign: int) -> DataFrame:
         inexact = [a for a in AMOUNTS if not isinstance(sales.schema[a].dataType, T.DecimalType | T.IntegralType)]
         if inexact:
             raise TypeError(f"{inexact} cannot be retracted exactly")
-        amounts = [(F.col(a) * sign).cast(_SUM).alias(a) for a in AMOUNTS]
         return sales.dropna(subset=list(SHOP_DAY[:2])).select(
             *[F.col(k).cast("string").alias(k) if k in SHOP_DAY[:2] else F.col(k) for k in keys],
             "order_no",
             F.lit(sign).alias("sign"),
-            *amounts,
+            *AMOUNTS,
         )
 
     rows = signed(before, -1).unionByName(signed(after, 1))
+    if reads_little(rows):
+        rows = rows.repartition(*keys)
+    elif not hot_key_hashes(rows, keys):
+        rows = rows.repartition(rows.count() // PART_ROWS + 1, *keys)
     there = F.max((F.col("sign") > 0).cast("int")) - F.max((F.col("sign") < 0).cast("int"))
+    exact = {a: F.col(a).cast(_SUM) for a in AMOUNTS}
     by_order = rows.groupBy(*keys, "order_no").agg(
         F.sum("sign").alias("row_count"),
         there.alias("order_change"),
-        *[F.sum(a).alias(a) for a in AMOUNTS],
+        *[F.sum(F.when(F.col("sign") < 0, -exact[a]).otherwise(exact[a])).alias(a) for a in AMOUNTS],
         *[F.sum(F.when(F.col(a).isNotNull(), F.col("sign"))).alias(n) for a, n in zip(AMOUNTS, _KNOWN, strict=True)],
     )
     counted = F.when(F.col("order_no").isNotNull(), F.col("order_change")).otherwise(0)
@@ -104,22 +116,39 @@ class DayTotals:
         return staged_at(day_changes(before, after, LEVELS[level]), f"{aside}/{batch_id}")
 
     def _merge(self, level: str, batch_id: int, changes: DataFrame) -> None:
-        path = f"{self.root}/{level}"
+        """Add the changes to the folders that the batch has not written yet.
+
+        Rows are dealt once, by their folder and a part of it, added up and written there.
+        Folders are replaced when all their rows are written beside them, so the table may be
+        read as it is replaced.
+        """
+        path, keys = f"{self.root}/{level}", LEVELS[level]
         period = F.left("dim_date_id", F.lit(self.day_digits))
-        marked = changes.withColumns({"period": period, "changed": F.lit(True)})
-        if path_exists(self.spark, path):
-            folders = marked.select(*FOLDER).distinct()
-            present = lookup_join(self._read(level), folders.filter("org_code >= ''"), FOLDER, "left_semi")
-            done = present.groupBy(*FOLDER).agg(F.max("batch_id").alias("last"))
-            done = done.filter(F.col("last") >= batch_id).select(*FOLDER)
-            rows = present.withColumn("changed", F.lit(False)).select(*marked.columns).unionByName(marked)
-            marked = lookup_join(rows, done, FOLDER, "left_anti")
-        merged = marked.groupBy(*LEVELS[level], "period").agg(*_summed(), F.max("changed").alias("changed"))
-        kept = merged.filter("row_count != 0 OR changed").drop("changed")
+        rows = changes.withColumns({"period": period, "changed": F.lit(True)})
         copy = new_location(self.spark, level)
         try:
-            rows = staged_at(kept.withColumn("batch_id", F.lit(batch_id).cast("long")), copy)
-            replace_partitions(rows, path, FOLDER)
+            folders = staged_at(rows.groupBy(*FOLDER).agg(F.count("*").alias("n")), f"{copy}/changed")
+            present = self._read(level) if path_exists(self.spark, path) else None
+            if present is not None:
+                held = lookup_join(present, folders.filter("org_code >= ''"), FOLDER, "left_semi").groupBy(*FOLDER)
+                held = held.agg(F.max("batch_id").alias("last"), F.count("*").alias("n_held"))
+                left = lookup_join(folders, held, FOLDER, "left").filter(F.coalesce("last", F.lit(-1)) < batch_id)
+                n = (F.col("n") + F.coalesce("n_held", F.lit(0))).alias("n")
+                folders = staged_at(left.select(*FOLDER, n), f"{copy}/left")
+                if folders.isEmpty():
+                    return
+            parts = folders.select(*FOLDER, F.ceil(F.col("n") / PART_ROWS).alias("parts")).filter("org_code >= ''")
+            n_parts = parts.agg(F.sum("parts")).first()[0] or 1
+            dealt = lookup_join(rows, parts, FOLDER)
+            if present is not None:
+                present = lookup_join(present.withColumn("changed", F.lit(False)), parts, FOLDER)
+                dealt = present.select(*dealt.columns).unionByName(dealt)
+            part = F.pmod(F.xxhash64(*keys), F.col("parts")).alias("part")
+            dealt = dealt.select("*", part).repartition(2 * n_parts, *FOLDER, "part")
+            if present is not None:  # changes alone are one row for each key
+                dealt = dealt.groupBy(*keys, "period", "part").agg(*_summed(), F.max("changed").alias("changed"))
+            kept = dealt.filter("row_count != 0 OR changed").select(*keys, "period", *_ADDED)
+            replace_partitions(kept.withColumn("batch_id", F.lit(batch_id).cast("long")), path, FOLDER)
         finally:
             remove_folder(self.spark, copy)
 
@@ -133,6 +162,10 @@ class DayTotals:
     def guide_day_sales(self) -> DataFrame:
         """With the share of the shop's amount, which lies in the same tenant-day."""
         found = self._totals("guide_day")
-        total = F.sum("real_amount").over(W.partitionBy(*SHOP_DAY)).cast("double")
-        share = F.col("real_amount").cast("double") / F.nullif(total, F.lit(0.0))
-        return found.withColumn("share_of_shop", share)
+        totals = found.groupBy(*SHOP_DAY).agg(F.sum("real_amount").cast("double").alias("shop_amount"))
+        totals = staged(totals.withColumnsRenamed({k: f"of_{k}" for k in SHOP_DAY}), "shop-totals")
+        if fits_broadcast(totals):
+            totals = F.broadcast(totals)
+        same = [F.col(k).eqNullSafe(F.col(f"of_{k}")) for k in SHOP_DAY]
+        share = F.col("real_amount").cast("double") / F.nullif(F.col("shop_amount"), F.lit(0.0))
+        return found.join(totals, same, "left").select(*found.columns, share.alias("share_of_shop"))

@@ -60,7 +60,12 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
 
     Writing the same rows again changes nothing, so a failed batch can be replayed.
     """
-    by_partition(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).option(
+    replace_dealt(by_partition(df, partition_by), path, partition_by)
+
+
+def replace_dealt(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """The same for rows that lie by output partition already; ``df`` may read from ``path``."""
+    df.write.mode("overwrite").partitionBy(*partition_by).option(
         "partitionOverwriteMode", "dynamic"
     ).parquet(path)
 

@@ -116,3 +116,20 @@ def test_sales_without_tenant_or_day_and_without_order(spark, sales, rows, tmp_p
     kept = DayTotals(spark, str(tmp_path))
     kept.apply(0, sales(), sales((None, "20240101", "s", "g", "1", 1, 1), ("A", "20240101", "s", "g", None, 3, 1)))
     assert [(r.org_code, r.order_count, r.real_amount) for r in kept.shop_day_sales().collect()] == [("A", 0, 3)]
+
+
+def test_changes_are_brought_together_once(sales):
+    plan = day_changes(sales(*FIRST), sales(), facts.GUIDE_DAY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_large_folders_are_dealt_and_repeated_batches_write_nothing(spark, sales, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(totals, "PART_ROWS", 1)
+    kept = DayTotals(spark, str(tmp_path), day_digits=4, levels=("guide_day",))
+    first = [*FIRST, ("A", "20240101", None, "g", "7", 4, 1), ("A", "20240101", None, "h", "7", 12, 1)]
+    kept.apply(0, sales(), sales(*first))
+    kept.apply(1, sales(first[0]), sales(("A", "20240101", "s", "g", "1", 50, 1)))
+    whole = facts.guide_day_sales(sales(("A", "20240101", "s", "g", "1", 50, 1), *first[1:]))
+    assert rows(kept.guide_day_sales().select(*whole.columns)) == rows(whole)
+    monkeypatch.setattr(totals, "replace_partitions", lambda *_: pytest.fail("written again"))
+    kept.apply(1, sales(first[0]), sales(("A", "20240101", "s", "g", "1", 50, 1)))
