@@ -632,9 +632,12 @@ def signal_semi_sales(m: RetailModel) -> DataFrame:
 
 @query
 def refresh_facts(m: RetailModel) -> DataFrame:
-    """Facts after a day of all tenants, another day of one, and a withdrawn tenant-day."""
+    """Facts after a day of all tenants, another day of one, and a withdrawn tenant-day.
+
+    The sales are joined once and written, so the refreshes find their days by a filter on files.
+    """
     path = new_location(m.spark, "facts")
-    sales = m.staged_sales()
+    sales = staged(m.staged_sales(), "sales")
 
     def signalled(*tenants: str) -> DataFrame:
         name = F.col("r_name")
@@ -648,7 +651,7 @@ def refresh_facts(m: RetailModel) -> DataFrame:
     refresh(signalled(), sales, AS_OF)
     refresh(signalled("EUROPE"), sales, NEXT_DAY)
     refresh(signalled("ASIA"), sales.filter("org_code != 'ASIA'"), AS_OF)
-    schema = facts.fct_orders(sales, m.guides(), m.nodes()).schema
+    schema = facts.fct_orders(m.spark.createDataFrame([], sales.schema), m.guides(), m.nodes()).schema
     return tables.text_partitions(m.spark, path, FACT_PARTITIONS, schema)
 
 

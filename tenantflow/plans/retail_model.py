@@ -132,14 +132,14 @@ class RetailModel:
 
     def payments(self, since: dt.date | None = None, before: dt.date | None = None) -> DataFrame:
         """``order_history_logs`` as a payment log: one row per order line."""
-        headers = self.headers(since, before).drop("guide")
+        headers = self.headers(since, before).drop("guide", "order_no")
         lines = self.raw("lineitem").withColumnRenamed("l_orderkey", "id")
         return lookup_join(
             lines, headers, "id", sized_by=self.orders_of(since, before)
         ).select(
             "id",
             "org_code",
-            "order_no",
+            F.col("id").cast("string").alias("order_no"),
             "trade_date",
             F.col("l_shipdate").alias("created_at"),
             "shop_code",

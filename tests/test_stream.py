@@ -253,3 +253,14 @@ def test_dimensions_of_a_day(spark):
     assert not second.is_cached
     with pytest.raises(KeyError):
         dimensions.get("guides", "A", 20200102)
+
+
+def test_refreshes_read_sales_that_were_joined_once(spark, monkeypatch):
+    from tenantflow.plans import catalog
+
+    read = []
+    monkeypatch.setattr(catalog, "refresh_batch", lambda batch, sales, *rest: read.append(sales().inputFiles()))
+    monkeypatch.setattr(catalog.tables, "text_partitions", lambda spark, *rest: spark.range(0))
+    catalog.QUERIES["refresh_facts"](spark, "/root/testdata/sf0.001")
+    assert len(read) == 3
+    assert not [f for files in read for f in files if "lineitem" in f or "orders" in f]
