@@ -58,7 +58,8 @@ PERCENT = 75
 BROADCAST_KEYS = 500_000
 POSTING_ROWS = 2048
 
-_CHUNK_BYTES = 1 << 20
+#: Bytes of text that are hashed at once; each takes some 60 bytes of a worker's memory.
+_CHUNK_BYTES = 1 << 18
 _U64 = np.uint64
 _rng = np.random.default_rng(20)
 
@@ -119,7 +120,9 @@ class ShingleHasher:
         ends = word & cut[1:]
         ends[:-1] |= word[:-1] & ~word[1:]
         begins, ends = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-        sums = np.concatenate([[_U64(0)], np.cumsum(_BYTE[raw] * self._powers[: len(raw)], dtype=np.uint64)])
+        sums = np.zeros(len(raw) + 1, np.uint64)
+        np.multiply(_BYTE[raw], self._powers[: len(raw)], out=sums[1:])
+        np.cumsum(sums[1:], out=sums[1:])
         words = _mixed((sums[ends] - sums[begins]) * self._inverses[begins])
         n = max(0, len(words) - WORDS + 1)
         shingles = np.zeros(n, np.uint64)

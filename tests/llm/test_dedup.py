@@ -275,3 +275,18 @@ def test_links_of_a_dense_block_fold_into_a_forest():
     met = a @ b.T >= 0.95
     assert (links == np.concatenate([met @ weights[:400], weights @ met])).all()
     assert all(roots[i] == roots[900 + j] for i, j in zip(*np.nonzero(met)))
+
+
+def test_hashing_takes_little_memory_beside_the_texts():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tenantflow.llm.minhash import ShingleHasher
+
+    texts = pa.array([" ".join(f"w{n}" for n in range(k, k + 2000)) for k in range(400)])
+    tracemalloc.start()
+    assert sum(len(found) for found in ShingleHasher().sets(texts)) == 400 * 1996
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30e6
