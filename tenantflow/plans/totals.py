@@ -138,13 +138,13 @@ class DayTotals:
                 if folders.isEmpty():
                     return
             parts = folders.select(*FOLDER, F.ceil(F.col("n") / PART_ROWS).alias("parts")).filter("org_code >= ''")
-            n_parts = parts.agg(F.sum("parts")).first()[0] or 1
+            n_rows = folders.agg(F.sum("n")).first()[0] or 0
             dealt = lookup_join(rows, parts, FOLDER)
             if present is not None:
                 present = lookup_join(present.withColumn("changed", F.lit(False)), parts, FOLDER)
                 dealt = present.select(*dealt.columns).unionByName(dealt)
             part = F.pmod(F.xxhash64(*keys), F.col("parts")).alias("part")
-            dealt = dealt.select("*", part).repartition(2 * n_parts, *FOLDER, "part")
+            dealt = dealt.select("*", part).repartition(2 * n_rows // PART_ROWS + 1, *FOLDER, "part")
             if present is not None:  # changes alone are one row for each key
                 dealt = dealt.groupBy(*keys, "period", "part").agg(*_summed(), F.max("changed").alias("changed"))
             kept = dealt.filter("row_count != 0 OR changed").select(*keys, "period", *_ADDED)
